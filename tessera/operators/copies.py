@@ -122,9 +122,22 @@ def resolve(edges: DataFrame, label: str = "links") -> DataFrame:
         signature = (now["n"], now["s"])
 
 
-def copies_to_drop(rows: DataFrame) -> DataFrame:
-    """The rows of one bounded batch that are copies of an earlier one, by an empty store."""
-    return MessageStore(rows.sparkSession, new_table_path(rows.sparkSession, "store")).process(rows, 0)
+def replay(rows: DataFrame, batches: int = 4, horizon_hours: int = 72) -> DataFrame:
+    """The rows to drop of a stored stream, replayed through a new store in ``batches`` slices of its
+    time of arrival (equal spans of time; rows without arrival come with the last)."""
+    spark = rows.sparkSession
+    store = MessageStore(spark, new_table_path(spark, "store"), horizon_hours)
+    span = rows.where(F.col("arrival_us") < LAST).agg(F.min("arrival_us").alias("a"), F.max("arrival_us").alias("b")).first()
+    low, high = (span["a"], span["b"]) if span["a"] is not None else (0, 0)
+    width = (high - low) // batches + 1
+    drops = None
+    for k in range(batches):
+        inside = F.col("arrival_us") >= low + k * width if k else F.lit(True)
+        if k < batches - 1:
+            inside = inside & (F.col("arrival_us") < low + (k + 1) * width)
+        part = store.process(rows.where(inside), k)
+        drops = part if drops is None else drops.unionByName(part)
+    return drops
 
 
 class MessageStore:

@@ -74,11 +74,6 @@ def adjustments(rows: DataFrame, policy: LatePolicy = LatePolicy()) -> DataFrame
     )
 
 
-def late_adjustments(rows: DataFrame, policy: LatePolicy = LatePolicy()) -> DataFrame:
-    """The adjustments that come at or after the end of their period."""
-    return adjustments(rows, policy).where(F.col("fate") != ON_TIME)
-
-
 def multiset(adjusted: DataFrame, *by: str) -> DataFrame:
     """Counts of each value of a period (and of whatever else ``by`` names). Counting is combined
     before the shuffle, so a period that holds a third of all rows moves only its distinct values."""
@@ -90,6 +85,18 @@ def multiset(adjusted: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def late_adjustments(rows: DataFrame, policy: LatePolicy = LatePolicy()) -> DataFrame:
+    """The log of corrections: every row that comes at or after the end of its period, with what it
+    does to the multiset (``delta``) and the count that its value has there in the end (``n``, 0 if
+    nothing of that value was ever admitted)."""
+    adjusted = adjustments(rows, policy)
+    state = multiset(adjusted).select(F.col("period").alias("at_period"), F.col("value").alias("at_value"), "n")
+    here = (F.col("period") == F.col("at_period")) & F.col("value").eqNullSafe(F.col("at_value"))
+    return adjusted.where(F.col("fate") != ON_TIME).join(state, here, "left").select(
+        "row_id", "period", "value", "fate", "revision", "delta", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
 def merge_multisets(old: DataFrame, new: DataFrame) -> DataFrame:
     """The state after a batch of adjustments: counts of equal values add up."""
     return old.unionByName(new).groupBy("period", "value").agg(F.sum("n").alias("n")).where(F.col("n") != 0)

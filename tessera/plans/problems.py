@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import arrival, day_text, micros, trimmed
+from tessera.functions.columns import day_text, micros, trimmed
 from tessera.operators import copies, equality_delete, hierarchy, late_events, orphans, profiling, schema_drift
 from tessera.session import cut, new_table_path
 
@@ -270,21 +270,13 @@ FROM h WHERE NOT EXISTS (SELECT 1 FROM p WHERE {_HOLDS.format('h', 'h.x')}) GROU
 
 def p6_found(spark, folder):
     rows = copies.message_rows(table(spark, folder, "municipal_rate_stream"))
-    return copies.copies_to_drop(rows).select(F.col("row_id").alias("delivery_id"))
+    return copies.replay(rows).select(F.col("row_id").alias("delivery_id"))
 
 
-def p6_stream(spark, folder):
-    """The same, batch by batch: the stream in four batches by the quarter of its arrival, the second
-    delivered twice, through one store whose older identifiers are archived."""
-    stream = table(spark, folder, "municipal_rate_stream")
-    rows = copies.message_rows(stream.withColumn("arrived", arrival()))
-    store = copies.MessageStore(spark, new_table_path(spark, "store"))
-    quarter = F.quarter(F.timestamp_micros("arrival_us"))
-    drops = None
-    for k in (1, 2, 2, 3, 4):
-        part = store.process(rows.where(quarter == k), k)
-        drops = part if drops is None else drops.unionByName(part)
-    return drops.select(F.col("row_id").alias("delivery_id")).distinct()
+def p6_once(spark, folder):
+    """The same as one batch, by an empty store."""
+    rows = copies.message_rows(table(spark, folder, "municipal_rate_stream"))
+    return copies.replay(rows, batches=1).select(F.col("row_id").alias("delivery_id"))
 
 
 _COPIES_SQL = """
@@ -296,7 +288,7 @@ b AS (SELECT u, v FROM e WHERE v IS NOT NULL UNION SELECT v, u FROM e WHERE v IS
 w AS (SELECT u x, v y FROM b UNION SELECT w.x, b.v FROM w JOIN b ON b.u = w.y)
 SELECT DISTINCT x AS delivery_id FROM w JOIN r p ON p.d = w.x JOIN r q ON q.d = w.y WHERE (q.a, q.d) < (p.a, p.d)"""
 
-P6_SQL = {"p6_found": _COPIES_SQL, "p6_stream": _COPIES_SQL}
+P6_SQL = {"p6_found": _COPIES_SQL, "p6_once": _COPIES_SQL}
 
 # 7 ---------------------------------------------------------------------------------------------
 
@@ -362,7 +354,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_table, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
-        p4_descendants, p5_found, p5_pending, p5_snapshots, p6_found, p6_stream, p7_found, p7_profile, p7_shifts,
+        p4_descendants, p5_found, p5_pending, p5_snapshots, p6_found, p6_once, p7_found, p7_profile, p7_shifts,
     )
 }
 ORACLES = P1_SQL | P2_SQL | P3_SQL | P4_SQL | P5_SQL | P6_SQL | P7_SQL
