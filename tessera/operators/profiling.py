@@ -107,14 +107,16 @@ def findings(compared: DataFrame, expectations: dict[str, Expectation]) -> DataF
     shift = F.lit(None).cast("double")
     for name, e in expectations.items():
         shift = F.when(F.col("column_name") == name, F.lit(float(e.mean_shift))).otherwise(shift)
-    ratio = float(SPREAD)
+    # nine decimals, as the values have: what double precision adds beyond them is no difference
+    near = lambda x: F.round(x, 9)
+    sd, base_sd, ratio = F.col("sd"), F.col("base_sd"), float(SPREAD)
     odd = {
         "null_rate": F.col("n_null") * NULL_RATE.denominator > F.col("n_rows") * NULL_RATE.numerator,
         "range": F.col("n_outside") > 0,
         "decimals": F.col("n_pattern") > 0,
         "top_value": F.col("top_count") * TOP_SHARE.denominator > F.col("n_values") * TOP_SHARE.numerator,
-        "mean_shift": F.abs(F.col("mean") - F.col("base_mean")) > shift,
-        "spread_shift": (F.col("sd") > F.col("base_sd") * ratio) | (F.col("sd") * ratio < F.col("base_sd")),
+        "mean_shift": near(F.abs(F.col("mean") - F.col("base_mean"))) > shift,
+        "spread_shift": (near(sd) > near(base_sd * ratio)) | (near(sd * ratio) < near(base_sd)),
     }
     listed = F.array_compact(F.array(*[F.when(test, name) for name, test in odd.items()]))
     return compared.select("load", "column_name", F.explode(listed).alias("finding"))

@@ -25,7 +25,7 @@ def year_extract(table: DataFrame, contract: Contract, year: int) -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def guard_bytes(df: DataFrame, limit: int = MAX_BYTES) -> DataFrame:
