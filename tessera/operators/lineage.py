@@ -10,15 +10,21 @@ from tessera.operators.hierarchy import hierarchy
 from tessera.operators.relational import latest
 
 
-def chain(registry: DataFrame, start: DataFrame) -> DataFrame:
-    """(release_id, reference_year, chain_level) from each row of ``start`` (column release_id) up to
-    its root; the start itself has level 0."""
-    tree = hierarchy(registry, "release_id", "baseline_release_id")
-    steps = tree.join(start.select(F.col("release_id").alias("node")).distinct(), "node").select(
-        F.posexplode(F.reverse("path")).alias("chain_level", "release_id")
-    )
+def chain(registry: DataFrame, start: str | None) -> DataFrame:
+    """(release_id, reference_year, chain_level) from ``start`` up to its root; ``start`` has level 0.
+
+    The ancestors of a release are the nodes whose nested-set range holds its place. Without a start,
+    of one that is not registered, or of one whose ancestry runs into a cycle, there is no chain.
+    """
+    tree = hierarchy(registry, "release_id", "baseline_release_id", with_path=False)
     years = registry.groupBy("release_id").agg(F.max("reference_year").alias("reference_year"))
-    return steps.groupBy("release_id").agg(F.min("chain_level").cast("long").alias("chain_level")).join(years, "release_id")
+    at = tree.where((F.col("node") == F.lit(start)) & F.col("low").isNotNull()).first() if start else None
+    held = F.lit(False)
+    depth = 0
+    if at:
+        held, depth = (F.col("root") == at["root"]) & (F.col("low") <= at["low"]) & (F.col("high") > at["low"]), at["depth"]
+    ancestors = tree.where(held).select(F.col("node").alias("release_id"), (F.lit(depth) - F.col("depth")).cast("long").alias("chain_level"))
+    return ancestors.join(years, "release_id").select("release_id", "reference_year", "chain_level")
 
 
 def nearest_per_year(steps: DataFrame) -> DataFrame:

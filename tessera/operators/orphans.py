@@ -49,8 +49,8 @@ def new_references(references: DataFrame) -> DataFrame:
 
 
 def _probe(references: DataFrame, index: DataFrame) -> DataFrame:
-    small = index.limit(BROADCAST_SPANS + 1).count() <= BROADCAST_SPANS
-    side = F.broadcast(index) if small else index
+    spans = index.agg(F.sum(F.size("spans"))).first()[0] or 0
+    side = F.broadcast(index) if spans <= BROADCAST_SPANS else index
     return references.join(side, references["ref_key"] == side["key"], "left").drop("key")
 
 

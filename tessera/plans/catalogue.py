@@ -345,8 +345,7 @@ UNION ALL SELECT r.i, r.b, r.y, c.k + 1 FROM c JOIN r ON r.i = c.b)"""
 
 def active_chain(spark, folder):
     registry = table(spark, folder, "release_registry")
-    start = registry.where("status = 'active'").agg(F.max("release_id").alias("release_id"))
-    return lineage.chain(registry, start)
+    return lineage.chain(registry, registry.where("status = 'active'").agg(F.max("release_id")).first()[0])
 
 
 @query(f"WITH RECURSIVE {_CHAIN} SELECT i AS release_id, y AS reference_year, CAST(k AS BIGINT) AS chain_level FROM c")
@@ -504,10 +503,12 @@ WHERE g = 1 AND et > epoch_us(TIMESTAMPTZ '2025-06-01 00:00:00+00')) WHERE w = 1
 b AS (SELECT DISTINCT ano, id_municipio, rede FROM municipal_rate_stream WHERE publish_time < TIMESTAMPTZ '2025-06-01 00:00:00+00')
 SELECT b.ano, b.id_municipio, b.rede, o.taxa_alfabetizacao, CASE WHEN o.eid IS NULL THEN 'batch_oficial' ELSE 'stream_simulacao' END AS origem FROM b LEFT JOIN o USING (ano, id_municipio, rede)""")
 def late_event_overlay(spark, folder):
-    """Events after the moment of promotion laid over what there was; the pointer is one row."""
+    """Events after the moment of promotion laid over what there was; the pointer is read first, and
+    if it is not one row there is no overlay."""
     pointer = spark.createDataFrame([("r1", "2025-06-01 00:00:00")], "release_id string, promoted_at string").select(micros(F.col("promoted_at")).alias("promoted_us"))
+    promoted = relational.only_if_single(pointer).first()
     latest = relational.latest(transport_latest(spark, folder), ["eid"], ["et", "publish_time", "ingestion_time", "message_id"])
-    after = latest.join(F.broadcast(relational.only_if_single(pointer)), F.col("et") > F.col("promoted_us"))  # one row at most
+    after = latest.where(F.col("et") > F.lit(promoted["promoted_us"] if promoted else None))
     overlay = relational.latest(after, ["ano", "id_municipio", "rede"], ["et", "publish_time", "eid"], ["taxa_alfabetizacao", "eid"])
     base = table(spark, folder, "municipal_rate_stream").where(micros(F.col("publish_time")) < micros(F.lit("2025-06-01 00:00:00"))).select("ano", "id_municipio", "rede").distinct()
     return base.join(overlay, ["ano", "id_municipio", "rede"], "left").select(

@@ -96,6 +96,19 @@ def p2_table(spark, folder):
     )
 
 
+def p2_wide(spark, folder):
+    """The same as one wide table, renamed columns joined. Its columns are those of the data, so what
+    comes out here are the records and how many values each has in and beside its columns."""
+    wide = schema_drift.consistent_table(
+        table(spark, folder, "landing_record"), table(spark, folder, "source_inspection"), table(spark, folder, "batch_manifest")
+    )
+    placed = [F.col(c).isNotNull().cast("long") for c in wide.columns if not c.endswith("_")]
+    return wide.select(
+        F.col("run_id_").alias("run_id"), F.col("line_no_").alias("line_no"), sum(placed, F.lit(0).cast("long")).alias("n_placed"),
+        F.coalesce(F.size("unconverted_"), F.lit(0)).alias("n_unconverted"), F.col("broken_").isNotNull().alias("broken"),
+    )
+
+
 _SCHEMA_SQL = """
 WITH runs AS (SELECT run_id, min(source) source, min(year) AS year, min(started_at) t FROM batch_manifest WHERE status = 'completed' GROUP BY 1),
 o AS (SELECT *, lag(run_id) OVER (PARTITION BY source, year ORDER BY t, run_id) p FROM runs),
@@ -353,7 +366,7 @@ SELECT r AS release_id, c AS column_name, round(m, 6) AS mean, round(bm, 6) AS b
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_table, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
+        p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_table, p2_wide, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
         p4_descendants, p5_found, p5_pending, p5_snapshots, p6_found, p6_once, p7_found, p7_profile, p7_shifts,
     )
 }

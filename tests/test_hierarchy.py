@@ -79,8 +79,7 @@ def test_chain_of_one_release(spark):
         [("a", None, 2023), ("b", "a", 2024), ("c", "b", 2024), ("d", "a", 2024), ("x", "y", 2024), ("y", "x", 2023)],
         "release_id string, baseline_release_id string, reference_year long",
     )
-    start = spark.createDataFrame([("c",)], "release_id string")
-    steps = lineage.chain(registry, start)
+    steps = lineage.chain(registry, "c")
     assert {tuple(r) for r in steps.select("release_id", "chain_level").collect()} == {("c", 0), ("b", 1), ("a", 2)}
     assert {(r["reference_year"], r["release_id"]) for r in lineage.nearest_per_year(steps).collect()} == {(2024, "c"), (2023, "a")}
-    assert lineage.chain(registry, spark.createDataFrame([("x",)], "release_id string")).count() == 0
+    assert [lineage.chain(registry, x).count() for x in ("x", "none", None)] == [0, 0, 0]
