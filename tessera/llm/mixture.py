@@ -82,9 +82,9 @@ def rates(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = Non
     present = F.when(F.col("n_tokens") > 0, F.col("target_share"))
     largest = joined.agg(
         F.sum(present).alias("present"), F.min(F.when(F.col("n_tokens") > 0, F.col("n_tokens") * F.col("max_repeats") / F.col("target_share"))).alias("reach")
-    )
-    spread = joined.crossJoin(F.broadcast(largest)).withColumn("aim", present / F.col("present"))  # one row
-    total = F.lit(float(total_tokens)) if total_tokens else F.col("reach") * F.col("present")
+    ).first()  # two numbers
+    spread = joined.withColumn("aim", present / F.lit(largest["present"]))
+    total = F.lit(float(total_tokens) if total_tokens else (largest["reach"] or 0.0) * (largest["present"] or 0.0))
     rate = F.least(F.col("max_repeats").cast("double"), F.col("aim") * total / F.col("n_tokens"))
     return spread.select(
         "source", "target_share", "max_repeats", "n_documents", "n_tokens", "aim", F.when(F.col("n_tokens") > 0, rate).alias("rate")
@@ -111,8 +111,8 @@ def report(counted: DataFrame, planned: DataFrame) -> DataFrame:
     that came out."""
     out = counted.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_copies")).alias("mixed_tokens"), F.max("n_copies").alias("most_copies"))
     joined = planned.join(out, "source", "left")
-    total = joined.agg(F.sum("mixed_tokens").alias("all_tokens"))  # one row
-    return joined.crossJoin(F.broadcast(total)).select(
+    total = out.agg(F.sum("mixed_tokens")).first()[0]
+    return joined.withColumn("all_tokens", F.lit(total)).select(
         "source", "target_share", "max_repeats", "n_documents", "n_tokens", F.col("aim").alias("aimed_share"), "rate",
         F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
         F.coalesce(F.col("mixed_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"),
