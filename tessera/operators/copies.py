@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import os
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from tessera.functions.columns import HOUR_US, arrival, instant, micros
 from tessera.session import cut, drop_path, new_table_path
 
 LAST = (1 << 63) - 1
+OLDEST = -(1 << 62)
 _SCALE = Decimal(10**19)
 
 
@@ -60,8 +62,8 @@ def row_id_of(order) -> F.Column:
     return F.pmod(order, F.lit(_SCALE).cast("decimal(20,0)")).cast("long")
 
 
-def identifier_rows(rows: DataFrame) -> DataFrame:
-    """(h1, h2, ord, event_us): one row per row and identifier."""
+def identifier_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """(h1, h2, ord, event_us): one row per row and identifier; columns to ``keep`` after them."""
     order = place(F.col("arrival_us"), F.col("row_id"))
 
     def key(kind, present, *parts):
@@ -73,7 +75,7 @@ def identifier_rows(rows: DataFrame) -> DataFrame:
             key("event", F.col("event_id").isNotNull() & F.col("event_us").isNotNull(), "event_id", "event_us"),
         )
     )
-    return rows.select(order.alias("ord"), "event_us", F.explode(keys).alias("key")).select("key.h1", "key.h2", "ord", "event_us")
+    return rows.select(order.alias("ord"), "event_us", *keep, F.explode(keys).alias("key")).select("key.h1", "key.h2", "ord", "event_us", *keep)
 
 
 def first_seen(identifiers: DataFrame) -> DataFrame:
@@ -100,29 +102,32 @@ def resolve(edges: DataFrame, label: str = "links") -> DataFrame:
     spark = edges.sparkSession
     big, small = F.greatest("u", "v"), F.least("u", "v")
     path = new_table_path(spark, label)
-    current = cut(edges.where(F.col("u") != F.col("v")).select(big.alias("u"), small.alias("v")), label, path)
-    signature = None
-    while True:
+    current = cut(edges.where(F.col("u") != F.col("v")).select(big.alias("u"), small.alias("v")).distinct(), label, path)
+    while not _are_stars(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        starred = joined.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         next_path = new_table_path(spark, label)
-        following = cut(starred, label, next_path)
+        current = cut(joined.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), label, next_path)
         drop_path(spark, path)
-        now = following.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"), F.countDistinct("u").alias("heads")
-        ).first()
-        current, path = following, next_path
-        if (now["n"], now["s"]) == signature or now["n"] == 0:
-            return current.select(F.col("u").alias("row"), F.col("v").alias("root"))
-        signature = (now["n"], now["s"])
+        path = next_path
+    return current.select(F.col("u").alias("row"), F.col("v").alias("root"))
 
 
-def replay(rows: DataFrame, batches: int = 4, horizon_hours: int = 72) -> DataFrame:
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v), u > v, leads from a vertex of no other edge to the centre of its star;
+    then the stars are the components, for the rounds keep what is connected."""
+    counted = edges.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("u").alias("tips")).first()
+    if counted["n"] != counted["tips"]:
+        return False
+    centres = edges.select(F.col("v").alias("u")).distinct()
+    return edges.select("u").join(centres, "u", "left_semi").limit(1).count() == 0
+
+
+def replay(rows: DataFrame, batches: int = 2, horizon_hours: int = 72) -> DataFrame:
     """The rows to drop of a stored stream, replayed through a new store in ``batches`` slices of its
     time of arrival (equal spans of time; rows without arrival come with the last)."""
     spark = rows.sparkSession
@@ -130,13 +135,17 @@ def replay(rows: DataFrame, batches: int = 4, horizon_hours: int = 72) -> DataFr
     span = rows.where(F.col("arrival_us") < LAST).agg(F.min("arrival_us").alias("a"), F.max("arrival_us").alias("b")).first()
     low, high = (span["a"], span["b"]) if span["a"] is not None else (0, 0)
     width = (high - low) // batches + 1
+    late = F.call_function("div", F.col("arrival_us") - F.lit(low), F.lit(width))
+    slices = rows.withColumn("slice", F.least(late, F.lit(batches - 1)).cast("int"))
+    path = new_table_path(spark, "identifiers")
+    written = identifier_rows(slices, "slice")  # read twice for each slice, so hashed and written once
+    written.write.partitionBy("slice").parquet(path)
+    identifiers = spark.read.schema(written.schema).parquet(path)
     drops = None
     for k in range(batches):
-        inside = F.col("arrival_us") >= low + k * width if k else F.lit(True)
-        if k < batches - 1:
-            inside = inside & (F.col("arrival_us") < low + (k + 1) * width)
-        part = store.process(rows.where(inside), k)
+        part = store.process_identifiers(identifiers.where(F.col("slice") == k), k)
         drops = part if drops is None else drops.unionByName(part)
+    drop_path(spark, path)
     return drops
 
 
@@ -180,50 +189,60 @@ class MessageStore:
         paths = self.version[kind]
         return self.spark.read.parquet(*paths) if paths else None
 
+    def _identifiers(self, kind: str) -> DataFrame | None:
+        """The identifiers still hot, or those whose event time has fallen behind the watermark."""
+        paths = self.version[kind]
+        if not paths:
+            return None
+        table = self.spark.read.schema("h1 long, h2 long, first decimal(38,0), event_us long, batch int, expired boolean")
+        table = table.option("basePath", f"{self.path}/identifiers").parquet(*paths)
+        return table.where(F.col("expired") == F.lit(kind == "archive")).select("h1", "h2", F.col("first").alias("known_first"), "event_us")
+
     def process(self, rows: DataFrame, batch: int) -> DataFrame:
         """Apply one batch and return the rows to drop that it reveals: copies among its own rows and
         rows kept earlier that it links to earlier ones. A batch processed before gives its stored
         answer again."""
+        return self.process_identifiers(identifier_rows(rows), batch)
+
+    def process_identifiers(self, identifiers: DataFrame, batch: int) -> DataFrame:
         if str(batch) in self.version["drops"]:
             return self.spark.read.parquet(self.version["drops"][str(batch)])
         at = f"{self.path}/batch-{batch}"
-        identifiers = identifier_rows(rows)
         fresh = cut(first_seen(identifiers), "seen", f"{at}/fresh")
         edges = star_edges(identifiers, fresh)
-        known = []
-        for kind in ("hot", "archive"):  # the archive is the late-arrival lookup
-            table = self._table(kind)
-            if table is not None:
-                known.append(table.select("h1", "h2", F.col("first").alias("known_first")))
         old_links = self._table("links")
+        known = [t for t in (self._identifiers("hot"), self._identifiers("archive")) if t is not None]  # the archive is the late-arrival lookup
         if known:
-            all_known = known[0] if len(known) == 1 else known[0].unionByName(known[1])
-            met = fresh.join(all_known, ["h1", "h2"]).select(F.col("first").alias("u"), F.col("known_first").alias("v"))
-            met = met.where(F.col("u") != F.col("v")).distinct()
-            edges = edges.unionByName(met)
-            if old_links is not None:
-                edges = edges.unionByName(old_links.select(F.col("row").alias("u"), F.col("root").alias("v"))).distinct()
-        links = cut(resolve(edges), "links", f"{at}/links")
-        revealed = links.select("row")
+            met = fresh.select("h1", "h2", "first").join(reduce(DataFrame.unionByName, known), ["h1", "h2"]).select(
+                F.col("first").alias("u"), F.col("known_first").alias("row")
+            )
+            roots = met.join(old_links, "row", "left").select("u", F.coalesce("root", "row").alias("v"))
+            edges = edges.unionByName(roots.where(F.col("u") != F.col("v")))
+        new_links = cut(resolve(edges), "links", f"{at}/new")
+        links, revealed = new_links, new_links.select("row")
         if old_links is not None:
+            # rows linked before follow their root where it turned out to be a copy itself
+            moved = new_links.select(F.col("row").alias("root"), F.col("root").alias("to"))
+            kept = old_links.join(new_links.select("row"), "row", "left_anti").join(moved, "root", "left").select("row", F.coalesce("to", "root").alias("root"))
+            links = kept.unionByName(new_links)
             revealed = revealed.join(old_links.select("row"), "row", "left_anti")
+        cut(links, "links", f"{at}/links")
         drops = cut(revealed.select(row_id_of(F.col("row")).alias("row_id")), "drops", f"{at}/drops")
-        self._commit(batch, at, fresh, drops)
+        self._commit(batch, at, fresh)
         return drops
 
-    def _commit(self, batch: int, at: str, fresh: DataFrame, drops: DataFrame) -> None:
+    def _commit(self, batch: int, at: str, fresh: DataFrame) -> None:
         high = fresh.agg(F.max("event_us")).first()[0]
-        high = max([h for h in (high, self.version["high"]) if h is not None], default=None)
-        hot, archive = [*self.version["hot"], f"{at}/fresh"], list(self.version["archive"])
-        if high is not None and len(hot) > 1:
-            merged = self.spark.read.parquet(*hot).groupBy("h1", "h2").agg(
-                F.min("first").alias("first"), F.sum("n").cast("long").alias("n"), F.max("event_us").alias("event_us")
+        high = max([h for h in (high, self.version["high"]) if h is not None], default=OLDEST)
+        columns = fresh.select("h1", "h2", "first", "event_us")
+        hot = self._identifiers("hot")
+        if hot is not None:
+            columns = columns.unionByName(hot.select("h1", "h2", F.col("known_first").alias("first"), "event_us")).groupBy("h1", "h2").agg(
+                F.min("first").alias("first"), F.max("event_us").alias("event_us")
             )
-            old = F.coalesce(F.col("event_us") < F.lit(high - self.horizon_us), F.lit(False))
-            cut(merged.where(~old), "hot", f"{at}/hot")
-            cut(merged.where(old), "archive", f"{at}/archive")
-            hot, archive = [f"{at}/hot"], [*archive, f"{at}/archive"]
+        expired = F.coalesce(F.col("event_us") < F.lit(high - self.horizon_us), F.lit(False))
+        columns.withColumn("expired", expired).write.mode("overwrite").partitionBy("expired").parquet(f"{self.path}/identifiers/batch={batch}")
         self._write_marker({
-            "batch": batch, "hot": hot, "archive": archive, "links": [f"{at}/links"],
+            "batch": batch, "hot": [f"{self.path}/identifiers/batch={batch}"], "archive": [*self.version["archive"], f"{self.path}/identifiers/batch={batch}"], "links": [f"{at}/links"],
             "drops": self.version["drops"] | {str(batch): f"{at}/drops"}, "high": high,
         })
