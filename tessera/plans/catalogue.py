@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import instant, micros
 from tessera.functions.domain import days_since, normalize_municipality_id, normalize_network, rate, year_start
 from tessera.operators import fingerprint, lineage, quality, relational
+from tessera.session import cut
 
 QUERIES, ORACLES = {}, {}
 AS_OF = "2026-01-01"
@@ -365,6 +366,65 @@ def cleanup_candidates(spark, folder):
     return lineage.expired(table(spark, folder, "release_registry"), active_chain(spark, folder), AS_OF)
 
 
+_LOAD_CHAIN = _CHAIN.replace("(SELECT max(release_id) FROM release_registry WHERE status = 'active')", "(SELECT arg_max(release_id, (ingested_at, release_id)) FROM silver_municipio)")
+_NEAREST = f"{_LOAD_CHAIN}, nr AS (SELECT y, arg_min(i, k) i, min(k) k FROM c GROUP BY 1)"
+
+
+def published(spark, folder):
+    """Of the ancestry of the last load, the release nearest to it for each reference year."""
+    last = table(spark, folder, "silver_municipio").agg(F.max_by("release_id", F.struct("ingested_at", "release_id"))).first()[0]
+    steps = cut(lineage.nearest_per_year(lineage.chain(table(spark, folder, "release_registry"), last)), "chain")
+    return last, steps
+
+
+@query(f"""WITH RECURSIVE {_NEAREST}, {_DEDUP}, h AS (SELECT d.*, lag(taxa_alfabetizacao) OVER (PARTITION BY id_municipio, rede ORDER BY ano, release_id) b
+FROM d JOIN nr ON nr.i = d.release_id JOIN {_DIR} USING (id_municipio))
+SELECT ano, id_municipio, rede, taxa_alfabetizacao, b AS taxa_ano_anterior, CAST(taxa_alfabetizacao - b AS DECIMAL(29,9)) AS variacao_pp FROM h
+WHERE release_id = (SELECT arg_max(release_id, (ingested_at, release_id)) FROM silver_municipio)""")
+def evolucao_alfabetizacao(spark, folder):
+    """The last load's rates beside those of the previous year there is in its ancestry; the load is
+    filtered out after looking back, not before."""
+    last, steps = published(spark, folder)
+    history = silver(spark, folder).join(relational.small_side(steps.select("release_id")), "release_id")
+    history = history.join(relational.small_side(directory(spark, folder)), "id_municipio")
+    order = F.struct("ano", "release_id").alias("order_")
+    before = relational.previous_available(history.select("*", order), ["id_municipio", "rede"], "order_", "taxa_alfabetizacao", "taxa_ano_anterior")
+    return before.where(F.col("release_id") == last).select(
+        "ano", "id_municipio", "rede", "taxa_alfabetizacao", "taxa_ano_anterior", (F.col("taxa_alfabetizacao") - F.col("taxa_ano_anterior")).alias("variacao_pp")
+    )
+
+
+@query(f"""WITH RECURSIVE {_NEAREST}, {_DEDUP} SELECT d.release_id, y AS reference_year, d.ano, d.id_municipio, d.rede, d.taxa_alfabetizacao, nome, sigla_uf
+FROM d JOIN nr ON nr.i = d.release_id JOIN {_DIR} USING (id_municipio)""")
+def public_indicador_municipio(spark, folder):
+    _, steps = published(spark, folder)
+    rows = indicador_municipio(spark, folder).join(relational.small_side(steps.select("release_id", "reference_year")), "release_id")
+    return rows.select("release_id", "reference_year", "ano", "id_municipio", "rede", "taxa_alfabetizacao", "nome", "sigla_uf")
+
+
+@query(f"""WITH RECURSIVE {_NEAREST}, {_CHOSEN.replace('c AS (', 'ch AS (').replace('FROM c)', 'FROM ch)')},
+p AS (SELECT g.*, y, row_number() OVER (PARTITION BY id_municipio, rede, ano_meta ORDER BY y DESC, nr.k) w FROM g JOIN nr ON nr.i = g.release_id WHERE y <= ano_meta)
+SELECT release_id, id_municipio, rede, ano_meta, ano_referencia, meta_alfabetizacao FROM p WHERE w = 1""")
+def public_overlap_resolution(spark, folder):
+    """Of overlapping targets of several published releases, those of the latest reference year not
+    after the target's, then of the nearest release."""
+    _, steps = published(spark, folder)
+    rows = chosen_targets(spark, folder).join(relational.small_side(steps), "release_id").where(F.col("reference_year") <= F.col("ano_meta"))
+    rows = rows.withColumn("near_", -F.col("chain_level"))
+    return relational.latest(
+        rows, ["id_municipio", "rede", "ano_meta"], ["reference_year", "near_"], ["release_id", "ano_referencia", "meta_alfabetizacao"]
+    )
+
+
+@query(f"""WITH RECURSIVE {_LOAD_CHAIN} SELECT a.i AS release_id, b.i AS baseline FROM c a JOIN c b ON b.k = a.k + 1 WHERE a.y < b.y""")
+def chain_year_order(spark, folder):
+    """Steps of the ancestry at which the reference year falls: a self-join of the chain."""
+    last = table(spark, folder, "silver_municipio").agg(F.max_by("release_id", F.struct("ingested_at", "release_id"))).first()[0]
+    steps = cut(lineage.chain(table(spark, folder, "release_registry"), last), "chain")
+    up = steps.select(F.col("release_id").alias("baseline"), F.col("reference_year").alias("base_year"), (F.col("chain_level") - 1).alias("chain_level"))
+    return steps.join(up, "chain_level").where(F.col("reference_year") < F.col("base_year")).select("release_id", "baseline")
+
+
 # measurements ----------------------------------------------------------------------------------
 
 _NEG = " OR ".join(f"{c} < 0" for c in ["media_portugues", "taxa_alfabetizacao", *LEVELS])

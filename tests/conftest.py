@@ -12,4 +12,6 @@ def spark():
 
     session = build_session("tests", "local[4]", 4)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.adaptive.enabled", "false")  # tiny inputs: one job a query
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     return session
