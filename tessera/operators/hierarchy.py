@@ -125,7 +125,8 @@ def descend(settled: DataFrame, with_path: bool = True) -> DataFrame:
             F.coalesce("offset", F.lit(0)).cast("long").alias("place"), path.alias("path"),
         )
     )
-    while state.where(F.col("up").isNotNull()).limit(1).count():
+    deepest = settled.agg(F.max("depth")).first()[0] or 0
+    for _ in range(int(deepest).bit_length()):
         ahead = state.select(F.col("node").alias("at"), F.col("up").alias("up2"), F.col("place").alias("place2"), F.col("path").alias("path2"))
         moving, still = state.where(F.col("up").isNotNull()), state.where(F.col("up").isNull())
         state = rounds.write(
