@@ -54,17 +54,31 @@ def _probe(references: DataFrame, index: DataFrame) -> DataFrame:
     return references.join(side, references["ref_key"] == side["key"], "left").drop("key")
 
 
-def advance(pending: DataFrame | None, references: DataFrame, index: DataFrame) -> DataFrame:
+def changed_keys(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Keys whose spans are not the same in two indexes: parents that came, went or changed."""
+    old = before.select(F.col("key").alias("old_key"), F.col("spans").alias("old_spans"))
+    both = after.join(old, F.col("key") == F.col("old_key"), "full")
+    return both.where(~F.col("spans").eqNullSafe(F.col("old_spans"))).select(F.coalesce("key", "old_key").alias("key"))
+
+
+def advance(pending: DataFrame | None, references: DataFrame, index: DataFrame, changed: DataFrame | None = None) -> DataFrame:
     """The state after a batch: what waited before and what the batch brought, each with the day it
     opened, was first resolved and last opened again under the current index.
 
     ``opened`` is false for references that found their parent on arrival; they stay in the state, for
-    a later removal of the parent opens them. Probing an old reference again is how parents that come
-    to be known later resolve it, also in the past.
+    a later removal of the parent opens them. With the ``changed_keys`` of the index since the last
+    batch, only references of those keys and of the batch's are probed, the others are carried over;
+    without, all are. A parent that comes to be known later resolves also in the past.
     """
     rows = new_references(references)
+    carried = None
     if pending is not None:
-        old = pending.select("table_name", "release_id", "ano", "ref_key", "day", "n")
+        old = pending
+        if changed is not None:
+            touched = changed.select(F.col("key").alias("touched")).unionByName(rows.select(F.col("ref_key").alias("touched"))).distinct()
+            carried = pending.join(touched, F.col("ref_key") == F.col("touched"), "left_anti")
+            old = pending.join(touched, F.col("ref_key") == F.col("touched"), "left_semi")
+        old = old.select("table_name", "release_id", "ano", "ref_key", "day", "n")
         rows = old.unionByName(rows).groupBy("table_name", "release_id", "ano", "ref_key", "day").agg(F.sum("n").alias("n"))
     probed = _probe(rows, index)
     spans = F.coalesce("spans", F.array().cast("array<struct<a:date,b:date>>"))
@@ -75,12 +89,13 @@ def advance(pending: DataFrame | None, references: DataFrame, index: DataFrame)
     later = lambda side: F.array_min(F.transform(F.filter(spans, lambda s: s[side] > F.col("day")), lambda s: s[side]))
     resolved, removed = later("a"), later("b")
     opened = ~F.exists(spans, holds)
-    return probed.select(
+    state = probed.select(
         "table_name", "release_id", "ano", "ref_key", "day", "n", opened.alias("opened"),
         F.when(opened, resolved).alias("resolved_on"),
         F.when(removed < never, removed).alias("removed_on"),
         spans.alias("spans"),
     )
+    return state if carried is None else state.unionByName(carried)
 
 
 def found(state: DataFrame) -> DataFrame:

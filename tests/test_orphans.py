@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from tessera.operators import orphans
+from tessera.session import cut
 
 PARENT = "key string, valid_from date, valid_to date, spans string, a int"
 CHILD = "table_name string, release_id string, ano long, ref_key string, day date, n string, key string"
@@ -43,12 +44,15 @@ def test_batches_equal_one_batch(spark):
     parents = index(spark, [(random.choice("abc"), day(), random.choice([None, day()])) for _ in range(12)])
     rows = [("t", random.choice("rs"), random.choice([1, None]), random.choice(["a", "b", "c", "d"]), day()) for _ in range(200)]
     whole = orphans.advance(None, refs(spark, rows), parents)
-    parts = None
-    for k in (1, 0, 2):
-        # the parents known so far differ; the last batch sees all of them
-        parts = orphans.advance(parts, refs(spark, rows[k::3]), parents if k == 2 else index(spark, []))
     as_set = lambda df: {str(r) for r in df.drop("spans").collect()}
-    assert as_set(whole) == as_set(parts)
+    for incremental in (False, True):
+        parts, known = None, index(spark, [])
+        for k in (1, 0, 2):
+            # the parents known so far differ; the last batch sees all of them
+            now = parents if k == 2 else index(spark, [("a", D(2025, 1, 5), None)] if k == 0 else [])
+            parts = cut(orphans.advance(parts, refs(spark, rows[k::3]), now, orphans.changed_keys(known, now) if incremental else None), "pending")
+            known = now
+        assert as_set(whole) == as_set(parts)
 
 
 def test_empty(spark):
