@@ -526,20 +526,28 @@ _TRANSPORT = f"""tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
 _LOGICAL = f"""{_TRANSPORT}, lg AS (SELECT *, row_number() OVER (PARTITION BY eid ORDER BY et DESC, publish_time DESC, ingestion_time DESC NULLS LAST, message_id DESC) g FROM tr)"""
 
 
+MESSAGE, EVENT = ["message_id", "own_message"], ["eid", "own_event"]
+
+
 def stream_rows(spark, folder):
-    rows = table(spark, folder, "municipal_rate_stream").where("message_id IS NOT NULL AND event_id IS NOT NULL")
-    return rows.withColumn("et", micros(instant(F.col("event_time")))).withColumn("eid", F.lower("event_id"))
+    """All rows. Nulls link nothing: a row without message id is a message of its own, one without
+    event id an event of its own, told apart by its delivery id."""
+    rows = table(spark, folder, "municipal_rate_stream")
+    own = lambda c: F.when(F.col(c).isNull(), F.col("delivery_id"))
+    return rows.withColumns({
+        "et": micros(instant(F.col("event_time"))), "eid": F.lower("event_id"), "own_message": own("message_id"), "own_event": own("event_id"),
+    })
 
 
 def transport_latest(spark, folder):
     """Of each message the last delivery."""
     rows = stream_rows(spark, folder)
-    return relational.latest(rows, ["message_id"], ["ingestion_time", "publish_time", "et", "eid", "delivery_id"])
+    return relational.latest(rows, MESSAGE, ["ingestion_time", "publish_time", "et", "eid", "delivery_id"])
 
 
 def logical_ranked(spark, folder):
     order = [F.col("et").desc(), F.col("publish_time").desc(), F.col("ingestion_time").desc_nulls_last(), F.col("message_id").desc()]
-    return relational.ranked(transport_latest(spark, folder), ["eid"], order, "event_rank")
+    return relational.ranked(transport_latest(spark, folder), EVENT, order, "event_rank")
 
 
 @query(f"WITH {_TRANSPORT} SELECT message_id, delivery_id FROM tr")
@@ -549,7 +557,8 @@ def stream_transport_dedup(spark, folder):
 
 @query(f"WITH {_LOGICAL} SELECT eid AS event_id, delivery_id, taxa_alfabetizacao FROM lg WHERE g = 1")
 def stream_latest(spark, folder):
-    return relational.latest(transport_latest(spark, folder), ["eid"], ["et", "publish_time", "ingestion_time", "message_id"], ["delivery_id", "taxa_alfabetizacao"]).withColumnRenamed("eid", "event_id")
+    rows = relational.latest(transport_latest(spark, folder), EVENT, ["et", "publish_time", "ingestion_time", "message_id"], ["delivery_id", "taxa_alfabetizacao"])
+    return rows.select(F.col("eid").alias("event_id"), "delivery_id", "taxa_alfabetizacao")
 
 
 @query(f"WITH {_LOGICAL} SELECT eid AS event_id, message_id, delivery_id FROM lg WHERE g > 1")
@@ -567,12 +576,12 @@ def late_event_overlay(spark, folder):
     if it is not one row there is no overlay."""
     pointer = spark.createDataFrame([("r1", "2025-06-01 00:00:00")], "release_id string, promoted_at string").select(micros(F.col("promoted_at")).alias("promoted_us"))
     promoted = relational.only_if_single(pointer).first()
-    latest = relational.latest(transport_latest(spark, folder), ["eid"], ["et", "publish_time", "ingestion_time", "message_id"])
+    latest = relational.latest(transport_latest(spark, folder), EVENT, ["et", "publish_time", "ingestion_time", "message_id"])
     after = latest.where(F.col("et") > F.lit(promoted["promoted_us"] if promoted else None))
-    overlay = relational.latest(after, ["ano", "id_municipio", "rede"], ["et", "publish_time", "eid"], ["taxa_alfabetizacao", "eid"])
+    overlay = relational.latest(after, ["ano", "id_municipio", "rede"], ["et", "publish_time", "eid"], ["taxa_alfabetizacao", "delivery_id"])
     base = table(spark, folder, "municipal_rate_stream").where(micros(F.col("publish_time")) < micros(F.lit("2025-06-01 00:00:00"))).select("ano", "id_municipio", "rede").distinct()
     return base.join(overlay, ["ano", "id_municipio", "rede"], "left").select(
-        "ano", "id_municipio", "rede", "taxa_alfabetizacao", F.when(F.col("eid").isNull(), "batch_oficial").otherwise("stream_simulacao").alias("origem")
+        "ano", "id_municipio", "rede", "taxa_alfabetizacao", F.when(F.col("delivery_id").isNull(), "batch_oficial").otherwise("stream_simulacao").alias("origem")
     )
 
 
