@@ -69,7 +69,7 @@ def p10_found(spark, folder):
 
 def p10_shares(spark, folder):
     """How much of each document also stands in others."""
-    return shared_spans.SharedSpans(_read(spark, folder, "documents")).shares()
+    return shared_spans.SharedSpans(_read(spark, folder, "documents")).all_shares()
 
 
 _WINDOW_SQL = """

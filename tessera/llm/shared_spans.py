@@ -194,3 +194,16 @@ class SharedSpans:
         return joined.select(
             "doc_id", "class_id", "n_chars", shared.cast("long").alias("shared_chars"), F.round(shared / F.col("n_chars"), 6).alias("shared_share")
         )
+
+    def all_shares(self) -> DataFrame:
+        """``shares`` of every document: those below the least length share nothing. Without any
+        character (null or empty) there is no share; a null text is a class of its own."""
+        short = self.documents.where(F.col("doc_id").isNotNull() & F.coalesce(F.length("text") < self.least, F.lit(True)))
+        lengths = short.select("doc_id", F.length("text").cast("long").alias("n_chars"))
+        joined = lengths.join(text_classes(short, 0), "doc_id", "left")
+        return self.shares().unionByName(
+            joined.select(
+                "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "n_chars", F.lit(0).cast("long").alias("shared_chars"),
+                F.when(F.col("n_chars") > 0, 0.0).alias("shared_share"),
+            )
+        )

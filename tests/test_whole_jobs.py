@@ -37,3 +37,13 @@ def test_rows_without_identifiers_stay_in_the_stream(spark, tmp_path):
     assert got("late_event_overlay") == [
         (2024, "1", "municipal", 5, "stream_simulacao"), (2024, "2", "municipal", 7, "stream_simulacao"), (2024, "3", "municipal", None, "batch_oficial"),
     ]
+
+
+def test_short_documents_have_shares_too(spark, tmp_path):
+    span = "".join(chr(0x100 + i) for i in range(100))
+    rows = [(1, span + "ab"), (2, "x" + span), (3, "y" * 99), (4, "y" * 99), (5, ""), (6, None), (7, None), (8, "z" * 100)]
+    got = {tuple(r) for r in run(spark, tmp_path, "p10_shares", documents=(rows, "doc_id long, text string")).collect()}
+    assert got == {
+        (1, 1, 102, 100, 0.980392), (2, 2, 101, 100, 0.990099), (3, 3, 99, 0, 0.0), (4, 3, 99, 0, 0.0),
+        (5, 5, 0, 0, None), (6, 6, None, 0, None), (7, 7, None, 0, None), (8, 8, 100, 0, 0.0),
+    }
