@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 #: The consistent table has at most this many columns; more names than that are no table.
 MAX_COLUMNS = 5_000
+#: Pairs of names that are read to find the families of columns.
+MAX_PAIRS = 10 * MAX_COLUMNS
 
 #: Spellings of one type.
 TYPE_ALIASES = {"INTEGER": "INT64", "FLOAT": "FLOAT64"}
@@ -192,29 +194,48 @@ def consistent_values(records: DataFrame, inspection: DataFrame, manifest: DataF
     )
 
 
+def _checked(pairs: DataFrame, what: str) -> list:
+    rows = pairs.limit(MAX_PAIRS + 1).collect()
+    if len(rows) > MAX_PAIRS:
+        raise ValueError(f"more than {MAX_PAIRS} {what}")
+    return rows
+
+
+def _merged(names, links: list[tuple[str, str]], clashes: set[frozenset[str]]) -> dict[str, set[str]]:
+    """Each name's family: linked names, but no two that clash."""
+    family = {name: {name} for name in names}
+    for old, new in links:
+        if family[old] is not family[new] and not any(frozenset((a, b)) in clashes for a in family[old] for b in family[new]):
+            merged = family[old] | family[new]
+            for name in merged:
+                family[name] = merged
+    return family
+
+
 def column_families(inspection: DataFrame, manifest: DataFrame) -> dict[str, tuple[list[str], str]]:
     """Name of each column of the consistent table -> (the names it has had, its fused type).
 
-    Names linked by a reported rename are one column, called by the name that most runs have, unless
-    both names stand in one file somewhere. The names of a table's columns are what is read here, so
-    their number is checked; more than ``MAX_COLUMNS`` is an error.
+    Names linked by reported renames are one column, called by the name that most runs have, unless
+    any two of them stand in one file somewhere. The names of a table's columns are what is read here,
+    so their number is checked; more than ``MAX_COLUMNS`` is an error, as are more than ``MAX_PAIRS``
+    renames or pairs of one file.
     """
     schemas = file_schemas(inspection)
     types = schemas.groupBy("name").agg(F.collect_set("has.type").alias("types"), F.count(F.lit(1)).alias("n")).limit(MAX_COLUMNS + 1).collect()
     if len(types) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} column names")
     renames = changes(inspection, manifest).where("change_kind = 'renamed'").select("prior_name", "column_name").distinct()
-    left = schemas.select("run_id", F.col("name").alias("prior_name"))
-    right = schemas.select("run_id", F.col("name").alias("column_name"))
-    together = renames.join(left, "prior_name").join(right, ["run_id", "column_name"]).select("prior_name", "column_name").distinct()
-    apart = renames.join(together, ["prior_name", "column_name"], "left_anti").limit(MAX_COLUMNS * 10).collect()
-    clashes = {frozenset(r) for r in together.limit(MAX_COLUMNS * 10).collect()}
-    family = {r["name"]: {r["name"]} for r in types}
-    for old, new in sorted((r["prior_name"], r["column_name"]) for r in apart):
-        if family[old] is not family[new] and not any(frozenset((a, b)) in clashes for a in family[old] for b in family[new]):
-            merged = family[old] | family[new]
-            for name in merged:
-                family[name] = merged
+    links = sorted(tuple(r) for r in _checked(renames, "renames"))
+    linked = _merged([r["name"] for r in types], links, set())
+    # only names that renames link, directly or not, can come into one family
+    groups = [(name, min(names)) for name, names in linked.items() if len(names) > 1]
+    clashes = set()
+    if groups:
+        grouped = schemas.select("run_id", "name").join(F.broadcast(schemas.sparkSession.createDataFrame(groups, "name string, linked string")), "name")
+        first, second = (grouped.withColumnRenamed("name", c) for c in ("a", "b"))
+        together = first.join(second, ["run_id", "linked"]).where("a < b").select("a", "b").distinct()
+        clashes = {frozenset(r) for r in _checked(together, "pairs of names in one file")}
+    family = _merged(linked, links, clashes)
     seen, runs = {r["name"]: set(r["types"]) for r in types}, {r["name"]: r["n"] for r in types}
     out = {}
     for names in {id(f): f for f in family.values()}.values():
@@ -227,8 +248,8 @@ def column_families(inspection: DataFrame, manifest: DataFrame) -> dict[str, tup
 
 def consistent_table(records: DataFrame, inspection: DataFrame, manifest: DataFrame) -> DataFrame:
     """One wide table over all files: run_id_, line_no_, then a column per family in its fused type;
-    ``unconverted_`` has by name the values that have no place in it (of another type, or of a name no
-    schema knows) and ``broken_`` the text of what is no object. One pass, no shuffle of records."""
+    ``unconverted_`` has by name the values that have no place in it (of another type, of a name no
+    schema knows, or beside another value of the same family) and ``broken_`` the text of what is no object. One pass, no shuffle of records."""
     families = column_families(inspection, manifest)
     parsed = records.select(
         F.col("run_id").alias("run_id_"), F.col("line_no").alias("line_no_"), F.col("payload"), F.try_parse_json("payload").alias("doc")
@@ -263,4 +284,12 @@ def consistent_table(records: DataFrame, inspection: DataFrame, manifest: DataFr
             | (F.array_contains(numbers, k) & ~F.array_contains(wholes, k) & convert["FLOAT64"](v).isNull())
         ),
     )
+    # of a record with several names of one family the first that converts is placed, the others are left
+    def beyond_first(names, kind):
+        held = F.array(*[F.struct(F.lit(n).alias("key"), F.element_at("has", n).alias("value")) for n in names])
+        return F.slice(F.filter(held, lambda e: convert[kind](e["value"]).isNotNull()), 2, len(names))
+
+    left = [beyond_first(names, kind) for names, kind in families.values() if len(names) > 1]
+    if left:
+        lost = F.map_concat(lost, F.map_from_entries(F.flatten(F.array(*left))))
     return rows.select("run_id_", "line_no_", *columns, lost.alias("unconverted_"), "broken_")

@@ -3,7 +3,11 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 import __spark_entry__ as entry
+from tessera.operators import schema_drift as drift
+from tests.test_schema_drift import tables
 
 
 def run(spark, tmp_path, name, **tables):
@@ -47,3 +51,26 @@ def test_short_documents_have_shares_too(spark, tmp_path):
         (1, 1, 102, 100, 0.980392), (2, 2, 101, 100, 0.990099), (3, 3, 99, 0, 0.0), (4, 3, 99, 0, 0.0),
         (5, 5, 0, 0, None), (6, 6, None, 0, None), (7, 7, None, 0, None), (8, 8, 100, 0, 0.0),
     }
+
+
+def test_names_of_one_file_are_never_one_column(spark):
+    """a became b in one line of runs and c in another; b and c stand together in a third."""
+    files = {"r1": ["a"], "r2": ["b"], "r3": ["a"], "r4": ["c"], "r5": ["b", "c"]}
+    inspection, manifest = tables(
+        spark, {run: [(n, "STRING", "NULLABLE") for n in names] for run, names in files.items()},
+        [("r1", 2023, "completed", 1), ("r2", 2023, "completed", 2), ("r3", 2024, "completed", 1), ("r4", 2024, "completed", 2), ("r5", 2025, "completed", 1)],
+    )
+    assert {k: sorted(names) for k, (names, _) in drift.column_families(inspection, manifest).items()} == {"a": ["a", "b"], "c": ["c"]}
+    # a record may hold both names of a family although no schema does
+    records = spark.createDataFrame([("r5", 1, '{"a": "x", "b": "y", "c": "z"}')], "run_id string, line_no long, payload string")
+    row = drift.consistent_table(records, inspection, manifest).first()
+    assert (row["a"], row["c"], row["unconverted_"]) == ("x", "z", {"b": "y"})
+
+
+def test_too_many_renames_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(drift, "MAX_PAIRS", 1, raising=False)
+    monkeypatch.setattr(drift, "MAX_COLUMNS", 4)
+    n = lambda *names: [(x, "STRING", "NULLABLE") for x in names]
+    inspection, manifest = tables(spark, {"r1": n("a", "b"), "r2": n("c", "d")}, [("r1", 2023, "completed", 1), ("r2", 2023, "completed", 2)])
+    with pytest.raises(ValueError, match="more than 1 renames"):
+        drift.column_families(inspection, manifest)
