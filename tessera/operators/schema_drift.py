@@ -39,6 +39,18 @@ def canonical_type(name: F.Column) -> F.Column:
     return plain
 
 
+def whole_number(text: F.Column) -> F.Column:
+    """The whole number that a text stands for ("3", "3.0", "3e2"), exactly, or null; a spelling that
+    only a double has is taken up to 2^53, where doubles tell whole numbers apart."""
+    exact, rough = text.try_cast("decimal(38,18)"), text.try_cast("double")
+    from_exact, from_rough = exact.try_cast("bigint"), rough.try_cast("bigint")
+    return F.coalesce(
+        text.try_cast("bigint"),
+        F.when(exact.isNotNull(), F.when(from_exact.cast("decimal(38,18)") == exact, from_exact))
+        .when((from_rough.cast("double") == rough) & (F.abs(rough) <= F.lit(2.0**53)), from_rough),
+    )
+
+
 def file_schemas(inspection: DataFrame) -> DataFrame:
     """One row per run and column: name, ordinal, type and mode."""
     named = inspection.where(F.col("run_id").isNotNull() & F.col("column_name").isNotNull()).select(
@@ -178,10 +190,9 @@ def consistent_values(records: DataFrame, inspection: DataFrame, manifest: DataF
     values = record_values(records).join(sources, "run_id", "left")
     joined = values.join(fused, ["source", "name"], "left")
     as_double = number.try_cast("double")
-    whole = as_double.try_cast("bigint")
     canonical = (
         F.when(F.col("tag").isin("NULL", "BROKEN"), F.lit(None).cast("string"))
-        .when(F.col("fused_type") == "INT64", F.when(whole.cast("double") == as_double, whole.cast("string")))
+        .when(F.col("fused_type") == "INT64", whole_number(number).cast("string"))
         .when(F.col("fused_type") == "FLOAT64", as_double.cast("string"))
         .otherwise(text)
     )
@@ -264,7 +275,7 @@ def consistent_table(records: DataFrame, inspection: DataFrame, manifest: DataFr
     rows = parsed.select("run_id_", "line_no_", F.when(~is_object, F.col("payload")).alias("broken_"), latest.alias("has"))
     columns = []
     convert = {
-        "INT64": lambda x: F.when(x.try_cast("double") == x.try_cast("double").try_cast("bigint").cast("double"), x.try_cast("double").try_cast("bigint")),
+        "INT64": whole_number,
         "FLOAT64": lambda x: F.replace(F.trim(x), F.lit(","), F.lit(".")).try_cast("double"),
         "STRING": lambda x: x,
     }

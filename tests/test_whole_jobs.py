@@ -74,3 +74,14 @@ def test_too_many_renames_are_an_error(spark, monkeypatch):
     inspection, manifest = tables(spark, {"r1": n("a", "b"), "r2": n("c", "d")}, [("r1", 2023, "completed", 1), ("r2", 2023, "completed", 2)])
     with pytest.raises(ValueError, match="more than 1 renames"):
         drift.column_families(inspection, manifest)
+
+
+def test_large_whole_numbers_stay_exact(spark):
+    inspection, manifest = tables(spark, {"a": [("n", "INT64", "NULLABLE")]}, [("a", 2024, "completed", 1)])
+    texts = ["9007199254740993", "9223372036854775807", '"9007199254740993"', '"9007199254740993.0"', "-9007199254740993", "3.0", '" 7 "', '"3e2"', '"3.7"', '"9223372036854775808"', '"x"']
+    values = [9007199254740993, 9223372036854775807, 9007199254740993, 9007199254740993, -9007199254740993, 3, 7, 300, None, None, None]
+    records = spark.createDataFrame([("a", i, f'{{"n": {t}}}') for i, t in enumerate(texts)], "run_id string, line_no long, payload string")
+    wide = drift.consistent_table(records, inspection, manifest).orderBy("line_no_").collect()
+    assert [r["n"] for r in wide] == values and [len(r["unconverted_"]) for r in wide] == [int(v is None) for v in values]
+    long = drift.consistent_values(records, inspection, manifest).orderBy("line_no").collect()
+    assert [r["canonical"] for r in long] == [None if v is None else str(v) for v in values]
