@@ -85,3 +85,17 @@ def test_large_whole_numbers_stay_exact(spark):
     assert [r["n"] for r in wide] == values and [len(r["unconverted_"]) for r in wide] == [int(v is None) for v in values]
     long = drift.consistent_values(records, inspection, manifest).orderBy("line_no").collect()
     assert [r["canonical"] for r in long] == [None if v is None else str(v) for v in values]
+
+
+def test_parents_that_exist_are_no_orphans(spark, tmp_path):
+    lines, orders = ([(7,), (7,), (8,), (9,), (None,)], "l_orderkey long"), ([(7,), (8,)], "o_orderkey long")
+    got = {tuple(r) for r in run(spark, tmp_path, "orphan_rows", lineitem=lines, orders=orders).collect()}
+    assert got == {(9, 1), (None, 1)}
+
+
+def test_small_parts_are_parts(spark):
+    folder = "/root/testdata/sf0.001"
+    item = entry.queries()["relationship_checks"](spark, folder).where("relation_name = 'item_peca'").first()
+    lines, parts = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("lineitem", "part"))
+    missing = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left_anti").count()
+    assert (item["checked_rows"], item["missing_rows"]) == (lines.count(), missing)
