@@ -509,14 +509,14 @@ def latest_completed_manifest(spark, folder):
 
 @query("SELECT count(*) AS n_rows FROM silver_municipio")
 def content_fingerprint(spark, folder):
-    """The multiset fingerprint of a table does not change with partitions and order; the row count
-    comes out (the digests have no SQL)."""
-    rows = table(spark, folder, "silver_municipio").select(*KEY, "taxa_alfabetizacao")
+    """The multiset fingerprint of a table, over all its columns: the row count and both sums. It does
+    not change with partitions and order."""
+    rows = table(spark, folder, "silver_municipio")
     n, one, two = fingerprint.multiset_fingerprint(rows)
     again = fingerprint.multiset_fingerprint(rows.repartition(5).select(*reversed(rows.columns)))
     if again != (n, one, two):
         raise RuntimeError("the fingerprint depends on the order of rows")
-    return spark.createDataFrame([(n,)], "n_rows long")
+    return spark.createDataFrame([(n, one, two)], "n_rows long, first_sum string, second_sum string")
 
 
 # streams, as their settled batch form ----------------------------------------------------------

@@ -99,3 +99,14 @@ def test_small_parts_are_parts(spark):
     lines, parts = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("lineitem", "part"))
     missing = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left_anti").count()
     assert (item["checked_rows"], item["missing_rows"]) == (lines.count(), missing)
+
+
+def test_any_column_changes_the_fingerprint(spark, tmp_path):
+    schema = "release_id string, ano long, id_municipio string, rede string, taxa_alfabetizacao long, media_portugues long, source_run_id string"
+    rows = [("r", 2024, "1", "total", 50, 700, "a"), ("r", 2024, "2", "total", 50, None, "a")]
+    got = lambda *changed: run(spark, tmp_path, "content_fingerprint", silver_municipio=([*changed, *rows[len(changed):]], schema)).first()
+    plain = got()
+    assert plain["n_rows"] == 2 and got(*reversed(rows)) == plain
+    for other in ((*rows[0][:5], 701, "a"), (*rows[0][:6], "b")):
+        changed = got(other)
+        assert changed["n_rows"] == 2 and changed["first_sum"] != plain["first_sum"] and changed["second_sum"] != plain["second_sum"]
