@@ -29,8 +29,8 @@ def p8_items(spark, folder):
 
 
 def p8_clean(spark, folder):
-    """The corpus without the documents concerned."""
-    return contamination.clean(_read(spark, folder, "documents").select("doc_id", "source", "n_chars"), _leaks(spark, folder))
+    """The corpus without the documents concerned, all columns."""
+    return contamination.clean(_read(spark, folder, "documents"), _leaks(spark, folder))
 
 
 _GRAM_SQL = """

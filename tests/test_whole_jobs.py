@@ -110,3 +110,13 @@ def test_any_column_changes_the_fingerprint(spark, tmp_path):
     for other in ((*rows[0][:5], 701, "a"), (*rows[0][:6], "b")):
         changed = got(other)
         assert changed["n_rows"] == 2 and changed["first_sum"] != plain["first_sum"] and changed["second_sum"] != plain["second_sum"]
+
+
+def test_the_cleaned_corpus_keeps_its_text(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(20))
+    documents = [(1, f"before {words} after", "pt", "s", None), (2, "something else", "pt", "s", "autre chose"), (3, None, None, "s", None)]
+    got = run(
+        spark, tmp_path, "p8_clean", documents=(documents, "doc_id long, text string, lang string, source string, target_text string"),
+        eval_item=([(1, words, "pt", "x")], "item_id long, text string, lang string, suite string"),
+    )
+    assert got.columns == ["doc_id", "text", "lang", "source", "target_text"] and {tuple(r) for r in got.collect()} == set(documents[1:])
