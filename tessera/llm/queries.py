@@ -69,7 +69,7 @@ def p10_found(spark, folder):
 
 def p10_shares(spark, folder):
     """How much of each document also stands in others."""
-    return shared_spans.SharedSpans(_read(spark, folder, "documents")).all_shares()
+    return shared_spans.SharedSpans(_read(spark, folder, "documents")).shares()
 
 
 _WINDOW_SQL = """
@@ -79,10 +79,10 @@ WITH w AS (SELECT doc_id, p, substring(text, p, 100) s FROM (SELECT doc_id, text
 QUERIES = {f.__name__: f for f in (p8_found, p8_items, p8_clean, p9_shares, p9_mixture, p10_found, p10_shares)}
 ORACLES = {
     "p8_found": _GRAM_SQL + "SELECT doc_id, item_id FROM m",
-    "p8_clean": _GRAM_SQL + "SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM m)",
+    "p8_clean": _GRAM_SQL + "SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM m)",
     "p10_found": _WINDOW_SQL + "SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.s = b.s AND a.doc_id < b.doc_id",
     "p10_shares": _WINDOW_SQL + """, h AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 c AS (SELECT doc_id, count(DISTINCT q) n FROM (SELECT doc_id, unnest(range(p, p + 100)) q FROM w SEMI JOIN h USING (s)) GROUP BY 1)
-SELECT d.doc_id, min(d.doc_id) OVER (PARTITION BY d.text) AS class_id, length(d.text) AS n_chars, coalesce(c.n, 0) AS shared_chars,
-  round(coalesce(c.n, 0) / length(d.text), 6) AS shared_share FROM documents d LEFT JOIN c USING (doc_id) WHERE length(d.text) >= 100""",
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN d.doc_id ELSE min(d.doc_id) OVER (PARTITION BY d.text) END AS class_id, length(d.text) AS n_chars,
+  coalesce(c.n, 0) AS shared_chars, CASE WHEN length(d.text) > 0 THEN round(coalesce(c.n, 0) / length(d.text), 6) END AS shared_share FROM documents d LEFT JOIN c USING (doc_id)""",
 }
