@@ -14,7 +14,9 @@ Defined cases
   share and cap counts; names are compared as they are;
 * null and empty texts have 0 tokens and are emitted like others; a source of 0 tokens has no rate;
 * copies of a document are numbered from 1; the outcome depends on id and seed alone, so that a task
-  run again, or a table in another order, gives the same;
+  run again, or a table in another order, gives the same; the number in [0, 1) is read from the first
+  52 bits of an MD5 digest of seed and id;
+* documents of sources that no target names are left out before their text is tokenized;
 * empty tables give an empty mixture; further columns of the inputs are ignored.
 """
 
@@ -27,7 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: The tokenizer of UTF-8 bytes, one token each: no vocabulary file is read.
+BYTES = "bytes"
 #: Texts encoded at once, and characters of a text encoded at once (cut at white space).
 TEXTS_AT_ONCE, CHARACTERS_AT_ONCE = 512, 200_000
 
@@ -46,9 +49,16 @@ def pieces(text: str, size: int) -> list[str]:
     return out
 
 
-def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, n_tokens). The vocabulary file is read where the query starts and sent to the
-    tasks (a few MB, fixed), so executors need no copy of it."""
+def targeted(documents: DataFrame, targets: DataFrame) -> DataFrame:
+    """The documents of the sources that have a target (a row for each source on the other side)."""
+    return documents.join(targets.where(_usable()).select("source").distinct(), "source", "left_semi")
+
+
+def token_counts(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, source, n_tokens). ``tokenizer`` is ``BYTES`` or the path of a vocabulary file, which
+    is read where the query starts and sent to the tasks (a few MB, fixed), so executors need no copy."""
+    if tokenizer == BYTES:
+        return documents.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_tokens"))
     with open(tokenizer, encoding="utf-8") as file:
         vocabulary = documents.sparkSession.sparkContext.broadcast(file.read())
 
@@ -70,9 +80,13 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return documents.select("doc_id", "source", "text").mapInPandas(count, "doc_id long, source string, n_tokens long")
 
 
+def _usable() -> F.Column:
+    return F.col("source").isNotNull() & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
+
+
 def rates(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
     """One row per target: tokens there are, share aimed at and repetition rate (null without any)."""
-    wanted = targets.where(F.col("source").isNotNull() & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)).groupBy("source").agg(
+    wanted = targets.where(_usable()).groupBy("source").agg(
         F.min(F.struct("target_share", "max_repeats")).alias("t")
     ).select("source", "t.*")
     there = sizes.where(F.col("source").isNotNull()).groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_documents"))
@@ -93,7 +107,8 @@ def rates(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = Non
 
 def copies(sizes: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
     """Each document of a planned source with the number of its copies (0 and more)."""
-    uniform = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
+    uniform = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     whole = F.floor("rate")
     side = planned.where(F.col("rate").isNotNull()).select("source", "rate")  # a row for each row of the target table
     return sizes.join(side, "source").select(

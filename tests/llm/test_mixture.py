@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tessera.llm import mixture as m
+from tessera.llm.queries import TOKENIZER
 
 
 
@@ -50,12 +51,12 @@ def test_nulls_and_empty(spark):
 def test_tokens_are_those_of_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
-    encoder = Tokenizer.from_file(m.TOKENIZER)
+    encoder = Tokenizer.from_file(TOKENIZER)
     encoder.encode_special_tokens = True
     long = "palavra " * 60_000
     texts = ["A prova de leitura.", "", None, "café ☃ " * 30, "<|endoftext|>", long, "x" * 1000]
     rows = spark.createDataFrame([(i, "s", t, "extra") for i, t in enumerate(texts)], "doc_id long, source string, text string, n_tokens string")
-    got = {r["doc_id"]: r["n_tokens"] for r in m.token_counts(rows).collect()}
+    got = {r["doc_id"]: r["n_tokens"] for r in m.token_counts(rows, TOKENIZER).collect()}
     assert got == {i: len(encoder.encode(t or "", add_special_tokens=False)) for i, t in enumerate(texts)}
 
 
@@ -63,3 +64,9 @@ def test_pieces_join_to_the_text():
     for text in ("", "ab cd", "a" * 50, "word " * 40, " " * 30 + "x"):
         parts = m.pieces(text, 7)
         assert "".join(parts) == text
+
+
+def test_only_targeted_documents_are_measured(spark):
+    docs = spark.createDataFrame([(1, "a", "café", 0), (2, "b", "xx", 0), (3, None, "y", 0), (4, "a", None, 0)], "doc_id long, source string, text string, max_repeats long")
+    wanted = targets(spark, [("a", 1.0, 2), ("a", 0.5, 1), ("b", None, 1), (None, 0.5, 2)])
+    assert {tuple(r) for r in m.token_counts(m.targeted(docs, wanted), m.BYTES).collect()} == {(1, "a", 5), (4, "a", 0)}
