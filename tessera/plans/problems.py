@@ -89,24 +89,29 @@ def p2_fused(spark, folder):
     return schema_drift.declared_alternatives(table(spark, folder, "source_inspection"), table(spark, folder, "batch_manifest"))
 
 
+def _drifting(spark, folder):
+    return [table(spark, folder, name) for name in ("landing_record", "source_inspection", "batch_manifest")]
+
+
+def p2_alternatives(spark, folder):
+    """Every alternative that the records show of a path: how often, where first, and if it was declared."""
+    return schema_drift.observed_alternatives(*_drifting(spark, folder))
+
+
+def p2_hashes(spark, folder):
+    """Runs whose schema hash did not follow their columns, or changed without them."""
+    return schema_drift.hash_findings(table(spark, folder, "source_inspection"), table(spark, folder, "batch_manifest"))
+
+
 def p2_table(spark, folder):
-    """All records of all files in one schema."""
-    return schema_drift.consistent_values(
-        table(spark, folder, "landing_record"), table(spark, folder, "source_inspection"), table(spark, folder, "batch_manifest")
-    )
+    """All values of all records of all files in one schema."""
+    return schema_drift.consistent_values(*_drifting(spark, folder))
 
 
 def p2_wide(spark, folder):
-    """The same as one wide table, renamed columns joined. Its columns are those of the data, so what
-    comes out here are the records and how many values each has in and beside its columns."""
-    wide = schema_drift.consistent_table(
-        table(spark, folder, "landing_record"), table(spark, folder, "source_inspection"), table(spark, folder, "batch_manifest")
-    )
-    placed = [F.col(c).isNotNull().cast("long") for c in wide.columns if not c.endswith("_")]
-    return wide.select(
-        F.col("run_id_").alias("run_id"), F.col("line_no_").alias("line_no"), sum(placed, F.lit(0).cast("long")).alias("n_placed"),
-        F.coalesce(F.size("unconverted_"), F.lit(0)).alias("n_unconverted"), F.col("broken_").isNotNull().alias("broken"),
-    )
+    """The same as one wide table, renamed columns joined; its columns are those of the data."""
+    wide = schema_drift.consistent_table(*_drifting(spark, folder))
+    return wide.withColumn("unconverted_", F.to_json("unconverted_"))
 
 
 _SCHEMA_SQL = """
@@ -116,17 +121,45 @@ c AS (SELECT DISTINCT run_id, lower(column_name) n, ordinal k, column_mode m,
         CASE data_type WHEN 'INTEGER' THEN 'INT64' WHEN 'FLOAT' THEN 'FLOAT64' ELSE data_type END t FROM source_inspection)
 """
 
-P2_SQL = {
-    "p2_found": _SCHEMA_SQL + """, now AS (SELECT o.run_id r, o.p, c.* FROM o JOIN c USING (run_id) WHERE p IS NOT NULL),
+_CHANGE_SQL = _SCHEMA_SQL.rstrip() + """, now AS (SELECT o.run_id r, o.p, c.* FROM o JOIN c USING (run_id) WHERE p IS NOT NULL),
 was AS (SELECT o.run_id r, c.* FROM o JOIN c ON c.run_id = o.p),
 new AS (SELECT now.* FROM now LEFT JOIN was ON was.r = now.r AND was.n = now.n WHERE was.n IS NULL),
 gone AS (SELECT was.* FROM was LEFT JOIN now ON was.r = now.r AND was.n = now.n WHERE now.n IS NULL),
-ren AS (SELECT new.r, new.n, gone.n old FROM new JOIN gone ON new.r = gone.r AND new.k = gone.k AND new.t = gone.t)
-SELECT r AS run_id, 'renamed' AS change_kind, n AS column_name, old AS prior_name FROM ren
+ren AS (SELECT new.r, new.n, gone.n old FROM new JOIN gone ON new.r = gone.r AND new.k = gone.k AND new.t = gone.t),
+ch AS (SELECT r AS run_id, 'renamed' AS change_kind, n AS column_name, old AS prior_name FROM ren
 UNION SELECT r, 'added', n, '' FROM new WHERE (r, n) NOT IN (SELECT r, n FROM ren)
 UNION SELECT r, 'removed', n, '' FROM gone WHERE (r, n) NOT IN (SELECT r, old FROM ren)
 UNION SELECT now.r, 'retyped', now.n, '' FROM now JOIN was ON was.r = now.r AND was.n = now.n WHERE was.t <> now.t
-UNION SELECT now.r, 'mode_changed', now.n, '' FROM now JOIN was ON was.r = now.r AND was.n = now.n WHERE was.m <> now.m""",
+UNION SELECT now.r, 'mode_changed', now.n, '' FROM now JOIN was ON was.r = now.r AND was.n = now.n WHERE was.m <> now.m)
+"""
+_VALUE_SQL = _SCHEMA_SQL.rstrip() + """, src AS (SELECT run_id, min(source) source FROM (SELECT run_id, source FROM source_inspection UNION ALL SELECT run_id, source FROM batch_manifest) GROUP BY 1),
+l AS (SELECT *, doc IS NOT NULL good FROM (SELECT *, CASE WHEN json_valid(payload) THEN CASE WHEN json_type(payload) = 'OBJECT' THEN payload END END doc FROM landing_record)),
+v AS (SELECT run_id, line_no, regexp_replace(lower(trim(substr(fullkey, 3))), '\\[[0-9]+\\]', '[]', 'g') AS path,
+  CASE WHEN type IN ('UBIGINT', 'BIGINT') THEN 'INT64' WHEN type IN ('DOUBLE', 'HUGEINT', 'UHUGEINT') THEN 'FLOAT64' WHEN type = 'VARCHAR' THEN 'STRING' WHEN type = 'BOOLEAN' THEN 'BOOL' ELSE type END tag,
+  CASE WHEN type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN doc ->> fullkey END x FROM l, json_tree(coalesce(l.doc, '{}')) WHERE fullkey <> '$'),
+w AS (SELECT v.*, source, regexp_extract(path, '^[^.\\[]*') column_name FROM v LEFT JOIN src USING (run_id)),
+de AS (SELECT o.source, c.n, c.t, count(*) k FROM c JOIN o USING (run_id) GROUP BY 1, 2, 3)
+"""
+
+P2_SQL = {
+    "p2_found": _CHANGE_SQL + "SELECT * FROM ch",
+    "p2_hashes": _CHANGE_SQL.rstrip() + """, hs AS (SELECT run_id, max(schema_hash) h FROM batch_manifest WHERE status = 'completed' GROUP BY 1),
+d AS (SELECT o.run_id, a.h IS DISTINCT FROM b.h hc, o.run_id IN (SELECT run_id FROM ch) cc FROM o JOIN hs a ON a.run_id = o.run_id JOIN hs b ON b.run_id = o.p)
+SELECT run_id, CASE WHEN cc THEN 'stale_hash' ELSE 'unexplained_hash' END AS finding FROM d WHERE hc <> cc""",
+    "p2_alternatives": _VALUE_SQL.rstrip() + """, s AS (SELECT run_id, min(started_at) t FROM batch_manifest GROUP BY 1),
+p AS (SELECT source, path, tag, run_id, count(*) n FROM w WHERE tag <> 'NULL' GROUP BY ALL)
+SELECT p.source, path, tag, CAST(sum(p.n) AS BIGINT) AS n_values, count(*) AS n_runs, arg_min(run_id, (coalesce(s.t, TIMESTAMP '0001-01-01'), run_id)) AS first_run, bool_or(de.k IS NOT NULL) AS declared
+FROM p LEFT JOIN s USING (run_id) LEFT JOIN de ON de.source = p.source AND de.n = path AND de.t = tag GROUP BY 1, 2, 3""",
+    "p2_table": _VALUE_SQL.rstrip() + """, wi AS (SELECT source, n path, max(CASE t WHEN 'INT64' THEN 0 WHEN 'FLOAT64' THEN 1 ELSE 2 END) q, 0 k FROM de GROUP BY 1, 2
+  UNION ALL SELECT source, path, max(CASE tag WHEN 'INT64' THEN 0 WHEN 'FLOAT64' THEN 1 ELSE 2 END), 1 FROM w WHERE tag <> 'NULL' GROUP BY 1, 2),
+f AS (SELECT source, path, ['INT64', 'FLOAT64', 'STRING'][arg_min(q, k) + 1] ft FROM wi GROUP BY 1, 2),
+j AS (SELECT w.*, ft, CASE WHEN tag IN ('INT64', 'FLOAT64', 'STRING') AND regexp_full_match(replace(trim(x), ',', '.'), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN replace(trim(x), ',', '.') END num
+  FROM w LEFT JOIN f USING (source, path))
+SELECT run_id, line_no, source, column_name, path, tag, ft AS fused_type, CASE WHEN tag = 'INT64' THEN TRY_CAST(x AS BIGINT) END AS as_int64, CASE WHEN tag = 'FLOAT64' THEN TRY_CAST(x AS DOUBLE) END AS as_float64,
+  CASE WHEN tag IN ('STRING', 'BOOL') THEN x END AS as_string,
+  CASE WHEN ft = 'INT64' THEN CASE WHEN regexp_full_match(num, '[+-]?[0-9]+') THEN TRY_CAST(num AS BIGINT) WHEN CAST(num AS DOUBLE) = floor(CAST(num AS DOUBLE)) AND abs(CAST(num AS DOUBLE)) <= 9007199254740992 THEN CAST(CAST(num AS DOUBLE) AS BIGINT) END END AS canonical_int64,
+  CASE WHEN ft = 'FLOAT64' THEN TRY_CAST(num AS DOUBLE) END AS canonical_float64, CASE WHEN ft = 'STRING' THEN CASE WHEN tag = 'FLOAT64' THEN regexp_replace(x, '[.]?0+$', '') ELSE x END END AS canonical_string FROM j
+UNION ALL SELECT run_id, line_no, source, '', '', 'BROKEN', NULL, NULL, NULL, payload, NULL, NULL, NULL FROM l LEFT JOIN src USING (run_id) WHERE NOT good""",
     "p2_fused": _SCHEMA_SQL + """
 SELECT o.source, c.n AS column_name, c.t AS data_type, count(*) AS n_runs, arg_min(o.run_id, (o.t, o.run_id)) AS first_run
 FROM c JOIN o USING (run_id) GROUP BY 1, 2, 3""",
@@ -367,7 +400,7 @@ SELECT r AS release_id, c AS column_name, round(m, 6) AS mean, round(bm, 6) AS b
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_table, p2_wide, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
+        p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_alternatives, p2_hashes, p2_table, p2_wide, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
         p4_descendants, p5_found, p5_pending, p5_snapshots, p6_found, p6_once, p7_found, p7_profile, p7_shifts,
     )
 }

@@ -62,14 +62,52 @@ def test_values_keep_their_branch(spark):
         [("a", 1, '{"N": 3, "f": "2,5", "t": 7}'), ("a", 2, '{"n": "x", "f": null, "t": "é", "new": true}'), ("a", 3, '{"n": 1'), ("a", 4, None), ("a", 5, "[1]")],
         "run_id string, line_no long, payload string",
     )
-    got = {(r["line_no"], r["column_name"]): (r["tag"], r["canonical"]) for r in drift.consistent_values(records, inspection, manifest).collect()}
+    rows = drift.consistent_values(records, inspection, manifest).collect()
+    got = {(r["line_no"], r["path"]): (r["tag"], *[x for x in (r["canonical_int64"], r["canonical_float64"], r["canonical_string"]) if x is not None]) for r in rows}
     assert got == {
-        (1, "n"): ("INT64", "3"), (1, "f"): ("STRING", "2.5"), (1, "t"): ("INT64", "7"),
-        (2, "n"): ("STRING", None), (2, "f"): ("NULL", None), (2, "t"): ("STRING", "é"), (2, "new"): ("BOOL", "true"),
-        (3, ""): ("BROKEN", None), (4, ""): ("BROKEN", None), (5, ""): ("BROKEN", None),
+        (1, "n"): ("INT64", 3), (1, "f"): ("STRING", 2.5), (1, "t"): ("INT64", "7"),
+        (2, "n"): ("STRING",), (2, "f"): ("NULL",), (2, "t"): ("STRING", "é"), (2, "new"): ("BOOL", "true"),
+        (3, ""): ("BROKEN",), (4, ""): ("BROKEN",), (5, ""): ("BROKEN",),
     }
 
 
+def test_both_readers_convert_alike(spark):
+    spellings = ["12,0", "9007199254740993", "-9007199254740993.0", "1e3", " 7 ", "3.5", "1d", "NaN", "0x1", "", "9223372036854775807", "9223372036854775808"]
+    wholes = {"12,0": 12, "9007199254740993": 9007199254740993, "-9007199254740993.0": -9007199254740993, "1e3": 1000, " 7 ": 7, "9223372036854775807": 9223372036854775807}
+    inspection, manifest = tables(spark, {"a": [("n", "INT64", N)]}, [("a", 2024, "completed", 1)])
+    records = spark.createDataFrame([("a", i, '{"n": "%s"}' % x) for i, x in enumerate(spellings)], "run_id string, line_no long, payload string")
+    long = {r["line_no"]: r["canonical_int64"] for r in drift.consistent_values(records, inspection, manifest).collect()}
+    wide = {r["line_no_"]: (r["n"], r["unconverted_"]) for r in drift.consistent_table(records, inspection, manifest).collect()}
+    assert long == {i: wholes.get(x) for i, x in enumerate(spellings)}
+    assert wide == {i: (wholes.get(x), {} if x in wholes else {"n": x}) for i, x in enumerate(spellings)}
+
+
+def test_paths_of_any_depth_keep_their_alternatives(spark):
+    inspection, manifest = tables(spark, {"a": [("n", "INT64", N)], "b": [("n", "INT64", N)]}, [("a", 2024, "completed", 1), ("b", 2024, "completed", 2)])
+    records = spark.createDataFrame(
+        [("a", 1, '{"N": {"x": [1, 2.5, {"d.e": "t"}], "y": {}}}'), ("b", 1, '{"n": 4, "o": {"p": {"q": {"r": [[true]]}}}}'), ("b", 2, '{"n": {"x": "4"}}')],
+        "run_id string, line_no long, payload string",
+    )
+    got = {(r["path"], r["tag"]): (r["n_values"], r["n_runs"], r["first_run"], r["declared"]) for r in drift.observed_alternatives(records, inspection, manifest).collect()}
+    assert got == {
+        ("n", "OBJECT"): (2, 2, "a", False), ("n", "INT64"): (1, 1, "b", True), ("n.x", "ARRAY"): (1, 1, "a", False), ("n.x", "STRING"): (1, 1, "b", False),
+        ("n.x[]", "INT64"): (1, 1, "a", False), ("n.x[]", "FLOAT64"): (1, 1, "a", False), ("n.x[]", "OBJECT"): (1, 1, "a", False),
+        ("n.x[].`d.e`", "STRING"): (1, 1, "a", False), ("n.y", "OBJECT"): (1, 1, "a", False), ("o", "OBJECT"): (1, 1, "b", False),
+        ("o.p", "OBJECT"): (1, 1, "b", False), ("o.p.q", "OBJECT"): (1, 1, "b", False), ("o.p.q.r", "ARRAY"): (1, 1, "b", False),
+        ("o.p.q.r[]", "ARRAY"): (1, 1, "b", False), ("o.p.q.r[][]", "BOOL"): (1, 1, "b", False),
+    }
+    values = {r["path"]: r["canonical_float64"] for r in drift.consistent_values(records, inspection, manifest).where("fused_type = 'FLOAT64'").collect()}
+    assert values == {}
+    empty = records.limit(0)
+    assert drift.observed_alternatives(empty, inspection, manifest).count() == drift.consistent_values(empty, inspection, manifest).count() == 0
+
+
+def test_hashes_that_disagree_with_the_columns(spark):
+    inspection, manifest = tables(spark, {"a": [("x", S, N)], "b": [("y", S, N)], "c": [("y", S, N)], "d": [("z", S, N)]}, [(r, 2024, "completed", i) for i, r in enumerate("abcd")])
+    hashes = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2"), ("d", "3"), ("d", None)], "run_id string, schema_hash string")
+    assert {tuple(r) for r in drift.hash_findings(inspection, manifest.join(hashes, "run_id", "left")).collect()} == {("b", "stale_hash"), ("c", "unexplained_hash")}
+
+
 def test_renamed_columns_are_one_column_of_the_wide_table(spark):
     schemas = {
         "a": [("n", "INT64", N), ("name", S, N), ("x", "INT64", N)],
