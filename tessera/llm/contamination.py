@@ -12,7 +12,8 @@ Defined cases
 * a text longer than a shard is cut with an overlap of the longest item, so that no match is lost;
 * equal items, equal documents and repeated matches each give their rows, one per document and item;
 * empty tables give an empty result; further columns of the inputs are ignored;
-* the test items are read in blocks of a bounded number of words, one pass over the corpus each.
+* the test items are read in blocks of a bounded number of words (52 bytes a word in every task), one
+  pass over the corpus each.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut
+
 MIN_WORDS = 13
 #: Words sorted at once by one task.
 SHARD_WORDS = 400_000
 #: Words of test items that are looked up in one pass.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 #: Matches extended at once.
 HITS_AT_ONCE = 500_000
 
@@ -198,10 +201,17 @@ def matches(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS,
     the longest match and where it begins in either."""
     spark, result = documents.sparkSession, None
     corpus = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    for block in item_blocks(items, min_words, block_words):
+    blocks = item_blocks(items, min_words, block_words)
+    block, following = next(blocks), next(blocks, None)
+    several = following is not None
+    while block is not None:
         shared = spark.sparkContext.broadcast(block)
         part = corpus.mapInPandas(lambda batches, shared=shared: _search(batches, shared.value), MATCH_SCHEMA)
+        if several:  # one block at a time in memory: its matches are written before the next is read
+            part = cut(part, "matches")
+            shared.unpersist()
         result = part if result is None else result.unionByName(part)
+        block, following = following, next(blocks, None) if following is not None else None
     longest = F.max(F.struct("n_words", (-F.col("doc_word")).alias("d"), (-F.col("item_word")).alias("i"))).alias("m")
     return result.groupBy("doc_id", "item_id").agg(longest).select(
         "doc_id", "item_id", "m.n_words", (-F.col("m.d")).alias("doc_word"), (-F.col("m.i")).alias("item_word")
