@@ -1,15 +1,23 @@
 """Messages delivered more than once: a keyed store of the identifiers seen so far.
 
 Every row has identifiers of several kinds; rows that share one are copies, also through others. The
-store has two tables, written together by one commit per batch:
+store only ever appends. A batch adds
 
-* ``seen``: identifier -> the first row seen with it (by arrival, then row id), and its event time;
-* ``links``: row -> the first row of its class, for rows that turned out to be copies.
+* ``seen``: each of its identifiers with the first row that has it (by arrival, then row id), its kind
+  and event time, sorted by event time;
+* ``links``: rows that turned out to be copies, each with the first row of its class as it was then;
+* ``drops``: the batch's answer, the rows that the links reveal as copies;
 
-A batch adds its identifiers, looks up those it shares with the store, and resolves what is linked.
-When a later row links two rows that were both kept, the later one of them is taken back: it comes
-out as a row to drop. Identifiers whose event time falls behind the watermark leave the hot table for
-the archive, which the late-arrival lookup still finds; nothing is forgotten, only moved.
+and one numbered marker commits all three. A batch looks up the identifiers it shares with the store
+and resolves what is linked. When a later row links two rows that were both kept, the later one of
+them is taken back: it comes out as a row to drop.
+
+The watermark lies ``horizon_hours`` behind the latest event time. Identifiers ahead of it are hot:
+every batch meets them, and a folder whose identifiers are all behind it is not opened for that.
+What lies behind is the archive, read for the late-arrival lookup only: by rows whose own event time
+is behind the watermark, over the span of their event times, and by message identifiers, which may
+come back with any event time. A feed whose message ids each have one event time can say so
+(``timed_messages``); then a batch without late rows reads no archive at all.
 
 Rows are ordered by one number, arrival * 10^19 + row id, so that "the first of a class" is a plain
 minimum: it is combined before every shuffle, and an identifier shared by a third of all rows moves
@@ -27,8 +35,6 @@ Defined cases
 
 from __future__ import annotations
 
-import json
-import os
 from decimal import Decimal
 from functools import reduce
 
@@ -36,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import HOUR_US, arrival, instant, micros
-from tessera.session import cut, drop_path, new_table_path
+from tessera.session import CommitLog, cut, drop_path, new_table_path
 
 LAST = (1 << 63) - 1
 OLDEST = -(1 << 62)
@@ -63,11 +69,13 @@ def row_id_of(order) -> F.Column:
 
 
 def identifier_rows(rows: DataFrame, *keep: str) -> DataFrame:
-    """(h1, h2, ord, event_us): one row per row and identifier; columns to ``keep`` after them."""
+    """(h1, h2, ord, event_us, is_message): one row per row and identifier; columns to ``keep`` after them."""
     order = place(F.col("arrival_us"), F.col("row_id"))
 
     def key(kind, present, *parts):
-        return F.when(present, F.struct(F.xxhash64(F.lit(kind), *parts).alias("h1"), F.xxhash64(*parts, F.lit(kind + "2")).alias("h2")))
+        return F.when(present, F.struct(
+            F.xxhash64(F.lit(kind), *parts).alias("h1"), F.xxhash64(*parts, F.lit(kind + "2")).alias("h2"), F.lit(kind == "message").alias("is_message")
+        ))
 
     keys = F.array_compact(
         F.array(
@@ -75,12 +83,14 @@ def identifier_rows(rows: DataFrame, *keep: str) -> DataFrame:
             key("event", F.col("event_id").isNotNull() & F.col("event_us").isNotNull(), "event_id", "event_us"),
         )
     )
-    return rows.select(order.alias("ord"), "event_us", *keep, F.explode(keys).alias("key")).select("key.h1", "key.h2", "ord", "event_us", *keep)
+    return rows.select(order.alias("ord"), "event_us", *keep, F.explode(keys).alias("key")).select("key.h1", "key.h2", "ord", "event_us", "key.is_message", *keep)
 
 
 def first_seen(identifiers: DataFrame) -> DataFrame:
-    """(h1, h2, first, n, event_us): the first row of each identifier and the number of rows."""
-    return identifiers.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"), F.max("event_us").alias("event_us"))
+    """(h1, h2, first, n, event_us, is_message): the first row of each identifier and the number of rows."""
+    return identifiers.groupBy("h1", "h2").agg(
+        F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"), F.max("event_us").alias("event_us"), F.max("is_message").alias("is_message")
+    )
 
 
 def star_edges(identifiers: DataFrame, seen: DataFrame) -> DataFrame:
@@ -150,99 +160,96 @@ def replay(rows: DataFrame, batches: int = 2, horizon_hours: int = 72) -> DataFr
 
 
 class MessageStore:
-    """State of ``process`` over batches in ``path``; a version is valid once its marker names it.
-
-    ``horizon_hours`` behind the latest event time lies the watermark.
-    """
-
-    def __init__(self, spark, path: str, horizon_hours: int = 72):
-        self.spark, self.path, self.horizon_us = spark, path.rstrip("/"), horizon_hours * HOUR_US
-        self.version: dict = {"batch": -1, "hot": [], "archive": [], "links": [], "drops": {}, "high": None}
-        marker = self._read_marker()
-        if marker:
-            self.version = marker
-
-    # the marker is one small file, written beside and renamed: output and state appear together
-    def _hadoop(self, name: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def _read_marker(self) -> dict | None:
-        fs, path = self._hadoop("marker.json")
-        if not fs.exists(path):
-            return None
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/marker.json").collect()))
-
-    def _write_marker(self, version: dict) -> None:
-        fs, new = self._hadoop(f".marker-{os.getpid()}-{version['batch']}")
-        stream = fs.create(new, True)
-        stream.write(bytearray(json.dumps(version), "utf-8"))
-        stream.close()
-        _, path = self._hadoop("marker.json")
-        if fs.exists(path):
-            fs.delete(path, False)
-        if not fs.rename(new, path):
-            raise RuntimeError("the store's marker was not renamed")
-        self.version = version
-
-    def _table(self, kind: str) -> DataFrame | None:
-        paths = self.version[kind]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def _identifiers(self, kind: str) -> DataFrame | None:
-        """The identifiers still hot, or those whose event time has fallen behind the watermark."""
-        paths = self.version[kind]
-        if not paths:
+    """State of ``process`` over batches in ``path``, which survives a restart. Batches are numbered
+    upwards; one that was committed before gives its stored answer again."""
+
+    def __init__(self, spark, path: str, horizon_hours: int = 72, timed_messages: bool = False):
+        self.spark, self.path, self.horizon_us, self.timed_messages = spark, path.rstrip("/"), horizon_hours * HOUR_US, timed_messages
+        self.log = CommitLog(spark, self.path)
+        latest = self.log.latest()
+        #: last batch; latest event time; of each batch that may still be hot its latest event time
+        self.last, self.version = latest if latest else (-1, {"high": None, "first": None, "hot": {}})
+
+    def _read(self, kind: str, batches: list[int], schema: str) -> DataFrame:
+        paths = [f"{self.path}/batch-{k}/{kind}" for k in batches]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _seen(self, batches: list[int]) -> DataFrame:
+        return self._read("seen", batches, "h1 long, h2 long, first decimal(38,0), n long, event_us long, is_message boolean")
+
+    def _batches(self) -> list[int]:
+        return list(range(self.version["first"], self.last + 1)) if self.last >= 0 else []
+
+    def _behind(self) -> F.Column:
+        """Whether an event time lies behind the watermark; none does, so it is not hot."""
+        watermark = (OLDEST if self.version["high"] is None else self.version["high"]) - self.horizon_us
+        return F.coalesce(F.col("event_us") < F.lit(watermark), F.lit(True))
+
+    def known(self, fresh: DataFrame) -> DataFrame | None:
+        """What of the store a batch meets: (u, root), its rows with the stored first rows of their identifiers."""
+        if self.last < 0:
             return None
-        table = self.spark.read.schema("h1 long, h2 long, first decimal(38,0), event_us long, batch int, expired boolean")
-        table = table.option("basePath", f"{self.path}/identifiers").parquet(*paths)
-        return table.where(F.col("expired") == F.lit(kind == "archive")).select("h1", "h2", F.col("first").alias("known_first"), "event_us")
+        behind = self._behind()
+        late = fresh.where(behind).agg(F.count(F.lit(1)).alias("n"), F.min("event_us").alias("since")).first()
+
+        def meet(probes, stored):
+            stored = stored.select("h1", "h2", F.col("first").alias("root"))
+            return probes.select("h1", "h2", F.col("first").alias("u")).join(stored, ["h1", "h2"]).select("u", "root")
+
+        parts = [meet(fresh, self._seen([int(k) for k in self.version["hot"]]).where(~behind))]
+        archive = self._seen(self._batches()).where(behind)
+        if not self.timed_messages:
+            parts.append(meet(fresh.where("is_message"), archive.where("is_message")))
+            archive = archive.where("NOT is_message")
+        if late["n"]:
+            parts.append(meet(fresh.where(behind), archive.where(F.col("event_us").isNull() | (F.col("event_us") >= F.lit(late["since"])))))
+        return reduce(DataFrame.unionByName, parts).distinct()
+
+    def roots(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Of each row in ``rows`` (with a column ``root``) the first of its class as it is now: links are
+        followed until none leads on. A class that lost its first row k times takes k + 1 steps."""
+        to = links.select(F.col("row").alias("root"), F.col("root").alias("to"))
+        while True:
+            stepped = cut(rows.join(to, "root", "left").withColumn("moved", F.col("to").isNotNull()).withColumn("root", F.coalesce("to", "root")).drop("to"), "roots")
+            rows = stepped.drop("moved")
+            if not stepped.where("moved").limit(1).count():
+                return rows
 
     def process(self, rows: DataFrame, batch: int) -> DataFrame:
         """Apply one batch and return the rows to drop that it reveals: copies among its own rows and
-        rows kept earlier that it links to earlier ones. A batch processed before gives its stored
-        answer again."""
+        rows kept earlier that it links to earlier ones."""
         return self.process_identifiers(identifier_rows(rows), batch)
 
     def process_identifiers(self, identifiers: DataFrame, batch: int) -> DataFrame:
-        if str(batch) in self.version["drops"]:
-            return self.spark.read.parquet(self.version["drops"][str(batch)])
         at = f"{self.path}/batch-{batch}"
-        fresh = cut(first_seen(identifiers), "seen", f"{at}/fresh")
+        if batch <= self.last:
+            return self._read("drops", [batch], "row_id long")
+        fresh = cut(first_seen(identifiers).sortWithinPartitions("event_us"), "seen", f"{at}/seen")
         edges = star_edges(identifiers, fresh)
-        old_links = self._table("links")
-        known = [t for t in (self._identifiers("hot"), self._identifiers("archive")) if t is not None]  # the archive is the late-arrival lookup
-        if known:
-            met = fresh.select("h1", "h2", "first").join(reduce(DataFrame.unionByName, known), ["h1", "h2"]).select(
-                F.col("first").alias("u"), F.col("known_first").alias("row")
-            )
-            roots = met.join(old_links, "row", "left").select("u", F.coalesce("root", "row").alias("v"))
-            edges = edges.unionByName(roots.where(F.col("u") != F.col("v")))
-        new_links = cut(resolve(edges), "links", f"{at}/new")
-        links, revealed = new_links, new_links.select("row")
-        if old_links is not None:
-            # rows linked before follow their root where it turned out to be a copy itself
-            moved = new_links.select(F.col("row").alias("root"), F.col("root").alias("to"))
-            kept = old_links.join(new_links.select("row"), "row", "left_anti").join(moved, "root", "left").select("row", F.coalesce("to", "root").alias("root"))
-            links = kept.unionByName(new_links)
-            revealed = revealed.join(old_links.select("row"), "row", "left_anti")
-        cut(links, "links", f"{at}/links")
-        drops = cut(revealed.select(row_id_of(F.col("row")).alias("row_id")), "drops", f"{at}/drops")
-        self._commit(batch, at, fresh)
+        links_schema = "row decimal(38,0), root decimal(38,0)"
+        old_links = self._read("links", self._batches(), links_schema)
+        met = self.known(fresh)
+        if met is not None:
+            reached = self.roots(met, old_links)
+            edges = edges.unionByName(reached.select("u", F.col("root").alias("v")).where(F.col("u") != F.col("v")))
+        links = resolve(edges)
+        if self.last >= 0:  # a row that is stored again is linked already
+            links = links.join(old_links.select("row"), "row", "left_anti")
+        links = cut(links, "links", f"{at}/links")
+        drops = cut(links.select(row_id_of(F.col("row")).alias("row_id")), "drops", f"{at}/drops")
+        self._commit(batch, fresh.agg(F.max("event_us")).first()[0])
         return drops
 
-    def _commit(self, batch: int, at: str, fresh: DataFrame) -> None:
-        high = fresh.agg(F.max("event_us")).first()[0]
-        high = max([h for h in (high, self.version["high"]) if h is not None], default=OLDEST)
-        columns = fresh.select("h1", "h2", "first", "event_us")
-        hot = self._identifiers("hot")
-        if hot is not None:
-            columns = columns.unionByName(hot.select("h1", "h2", F.col("known_first").alias("first"), "event_us")).groupBy("h1", "h2").agg(
-                F.min("first").alias("first"), F.max("event_us").alias("event_us")
-            )
-        expired = F.coalesce(F.col("event_us") < F.lit(high - self.horizon_us), F.lit(False))
-        columns.withColumn("expired", expired).write.mode("overwrite").partitionBy("expired").parquet(f"{self.path}/identifiers/batch={batch}")
-        self._write_marker({
-            "batch": batch, "hot": [f"{self.path}/identifiers/batch={batch}"], "archive": [*self.version["archive"], f"{self.path}/identifiers/batch={batch}"], "links": [f"{at}/links"],
-            "drops": self.version["drops"] | {str(batch): f"{at}/drops"}, "high": high,
-        })
+    def _commit(self, batch: int, high: int | None) -> None:
+        """Batches are one run of numbers; those skipped are written empty, so that reading needs no list."""
+        first = batch if self.version["first"] is None else self.version["first"]
+        for k in range(self.last + 1 if self.last >= 0 else batch, batch):
+            self._seen([]).write.mode("overwrite").parquet(f"{self.path}/batch-{k}/seen")
+            for kind, schema in (("links", "row decimal(38,0), root decimal(38,0)"), ("drops", "row_id long")):
+                self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/batch-{k}/{kind}")
+        latest = max([h for h in (high, self.version["high"]) if h is not None], default=None)
+        hot = self.version["hot"] | ({} if high is None else {str(batch): high})
+        hot = {k: h for k, h in hot.items() if h >= latest - self.horizon_us}
+        version = {"high": latest, "first": first, "hot": hot}
+        self.log.commit(batch, version)
+        self.last, self.version = batch, version

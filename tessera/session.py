@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
@@ -28,19 +29,25 @@ def build_session(app: str = "tessera", master: str | None = None, partitions: i
     )
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, a laptop) is a folder of our own made, which is
-    removed when the interpreter ends.
+    Only a local session may lack the setting (tests, a laptop): it gets a folder of its own, which is
+    removed when the interpreter ends. On a cluster a folder of one machine would not do, so there the
+    missing setting is an error.
     """
-    named = spark.sparkContext.getConf().get(CHECKPOINT_KEY) or spark.conf.get(CHECKPOINT_KEY, "")
+    named = spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if named:
         return named.rstrip("/")
-    own = tempfile.mkdtemp(prefix="tessera-")
-    atexit.register(shutil.rmtree, own, True)
-    spark.conf.set(CHECKPOINT_KEY, own)
-    return own
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="tessera-"))
+        atexit.register(shutil.rmtree, _own[0], True)
+    return _own[0]
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
@@ -64,3 +71,49 @@ def cut(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or new_table_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class CommitLog:
+    """Numbered markers beside the tables of a state: a version holds as soon as its marker is there.
+
+    A marker is written complete under another name and then renamed, and the markers before it stay
+    until it is; whatever stops a writer, the highest marker is a complete version. One writer at a
+    time; a number is committed once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, name: str = ""):
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return path.getFileSystem(self._conf), path
+
+    def numbers(self) -> list[int]:
+        fs, path = self._at()
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(int(n[7:-5]) for n in names if n.startswith("marker-") and n.endswith(".json"))
+
+    def latest(self) -> tuple[int, dict] | None:
+        numbers = self.numbers()
+        if not numbers:
+            return None
+        fs, path = self._at(f"marker-{numbers[-1]}.json")
+        stream = fs.open(path)
+        try:
+            return numbers[-1], json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def commit(self, number: int, content: dict) -> None:
+        fs, beside = self._at(f".new-{uuid.uuid4().hex}")
+        stream = fs.create(beside, True)
+        stream.write(bytearray(json.dumps(content), "utf-8"))
+        stream.close()
+        _, path = self._at(f"marker-{number}.json")
+        if fs.exists(path) or not fs.rename(beside, path):
+            fs.delete(beside, False)
+            raise RuntimeError(f"version {number} is committed already")
+        for old in self.numbers():
+            if old < number - 1:
+                fs.delete(self._at(f"marker-{old}.json")[1], False)

@@ -80,3 +80,54 @@ def test_no_identifiers_and_empty(spark):
     rows = [(i, None, None, BASE.isoformat(), BASE, None) for i in range(5)] + [(9, "e", None, None, None, None), (8, "e", None, None, None, None)]
     assert copies.replay(messages(spark, rows), 2).count() == 0
     assert copies.replay(messages(spark, []), 2).count() == 0
+
+
+def test_a_stop_before_the_commit_leaves_the_last_version(spark, tmp_path, monkeypatch):
+    rows = random_rows(90, 5, 20)
+    rows = sorted(rows, key=lambda r: r[5] or r[4])
+    parts = [rows[:30], rows[30:60], rows[60:]]
+    ids = lambda df: {r["row_id"] for r in df.collect()}
+    store = copies.MessageStore(spark, str(tmp_path), horizon_hours=5)
+    out = ids(store.process(messages(spark, parts[0]), 0))
+    with monkeypatch.context() as stopped:
+        def stop(*_):
+            raise KeyboardInterrupt
+
+        stopped.setattr(store.log, "commit", stop)
+        with pytest.raises(KeyboardInterrupt):
+            store.process(messages(spark, parts[1]), 1)
+    again = copies.MessageStore(spark, str(tmp_path), horizon_hours=5)
+    assert again.last == 0 and ids(again.process(messages(spark, parts[0]), 0)) == out  # what was committed is still there
+    for k in (1, 2):
+        out |= ids(again.process(messages(spark, parts[k]), k))
+    assert out == expected(rows)
+    assert again.log.numbers() == [1, 2]
+    with pytest.raises(RuntimeError):
+        again.log.commit(2, {})
+
+
+def test_a_batch_of_timed_messages_reads_no_archive(spark, tmp_path, monkeypatch):
+    """Ten days of a feed in daily batches: the folders that are opened for a batch do not grow in number."""
+    store, opened = copies.MessageStore(spark, str(tmp_path), horizon_hours=24, timed_messages=True), []
+    plain = store._read
+    monkeypatch.setattr(store, "_read", lambda kind, batches, schema: opened.append((kind, list(batches))) or plain(kind, batches, schema))
+    drops, late = set(), None
+    for day in range(10):
+        at = BASE + dt.timedelta(days=day)
+        rows = [(10 * day + i, None, f"m{day}-{i // 2}", at.isoformat(), at, None) for i in range(6)]
+        if day == 9:  # one row of the first day once more
+            rows.append((999, None, "m0-0", BASE.isoformat(), at, None))
+        opened.clear()
+        drops |= {r["row_id"] for r in store.process(messages(spark, rows), day).collect()}
+        late = [batches for kind, batches in opened if kind == "seen"]
+        assert len(late[0]) <= 2 if late else day == 0
+    assert drops == {10 * d + i for d in range(10) for i in (1, 3, 5)} | {999}
+
+
+def test_a_message_id_with_another_event_time_is_found_in_the_archive(spark, tmp_path):
+    at = lambda h: BASE + dt.timedelta(hours=h)
+    store = copies.MessageStore(spark, str(tmp_path), horizon_hours=1)
+    batches = [[(1, None, "m", BASE.isoformat(), at(0), None), (2, None, "n", None, at(0), None)], [(3, None, "x", at(90).isoformat(), at(90), None)],
+               [(4, None, "m", at(90).isoformat(), at(91), None), (5, None, "n", at(95).isoformat(), at(95), None)], [(6, None, "n", None, at(99), None)]]
+    got = [{r["row_id"] for r in store.process(messages(spark, rows), 2 * k).collect()} for k, rows in enumerate(batches)]
+    assert got == [set(), set(), {4, 5}, {6}]
