@@ -1,8 +1,9 @@
 """Per-period aggregates by event time, corrected by what arrives late.
 
-The state of a period is the multiset of its values, kept as one row ``(period, value, n)`` for each
-different value. A late record adjusts one count; medians, distinct counts and extremes are derived
-again from cumulative counts, never from the records.
+The state of a period is the multiset of its values, kept as one row ``(period, revision, value, n)``
+for each different value. A late record adjusts one count; medians, distinct counts and extremes are
+derived again from cumulative counts, never from the records. The state over batches of arrivals is
+``streaming.late_state.MultisetStore``.
 
 Defined cases
 * a row without a readable event time, or without any arrival time, has fate ``unplaced`` and no
@@ -85,21 +86,20 @@ def multiset(adjusted: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def late_adjustments(rows: DataFrame, policy: LatePolicy = LatePolicy()) -> DataFrame:
-    """The log of corrections: every row that comes at or after the end of its period, with what it
-    does to the multiset (``delta``) and the count that its value has there in the end (``n``, 0 if
-    nothing of that value was ever admitted)."""
-    adjusted = adjustments(rows, policy)
-    state = multiset(adjusted).select(F.col("period").alias("at_period"), F.col("value").alias("at_value"), "n")
-    here = (F.col("period") == F.col("at_period")) & F.col("value").eqNullSafe(F.col("at_value"))
-    return adjusted.where(F.col("fate") != ON_TIME).join(state, here, "left").select(
-        "row_id", "period", "value", "fate", "revision", "delta", F.coalesce("n", F.lit(0)).alias("n")
-    )
+def correction_counts(state: DataFrame, log: DataFrame) -> DataFrame:
+    """What lateness did to each value of a period: its count when the period closed, what corrections
+    added, what was refused, and the count it has now."""
+    nothing = F.lit(0).cast("long")
+    part = lambda test: F.when(test, F.col("n")).otherwise(nothing)
+    admitted = state.select("period", "value", part(F.col("revision") == 0).alias("n_closed"), part(F.col("revision") > 0).alias("n_correction"), nothing.alias("n_dropped"))
+    refused = log.where(F.col("fate") == DROPPED).select("period", "value", nothing.alias("n_closed"), nothing.alias("n_correction"), F.lit(1).cast("long").alias("n_dropped"))
+    counted = admitted.unionByName(refused).groupBy("period", "value").agg(*[F.sum(c).alias(c) for c in ("n_closed", "n_correction", "n_dropped")])
+    return counted.where("n_correction + n_dropped > 0").withColumn("n", F.col("n_closed") + F.col("n_correction"))
 
 
-def merge_multisets(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The state after a batch of adjustments: counts of equal values add up."""
-    return old.unionByName(new).groupBy("period", "value").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+def merge_multisets(parts: DataFrame) -> DataFrame:
+    """The state after several batches of adjustments: counts of equal values add up."""
+    return parts.groupBy("period", "revision", "value").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
 
 
 def revisions(state: DataFrame, last: int) -> DataFrame:

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import CommitLog, cut, drop_path, new_table_path
+
 ALWAYS, OPEN = "0001-01-01", "9999-12-31"
 
 #: The parent index goes to every task only up to this many spans (about 64 bytes each); a larger one
@@ -98,6 +100,62 @@ def advance(pending: DataFrame | None, references: DataFrame, index: DataFrame,
     return state if carried is None else state.unionByName(carried)
 
 
+class PendingStore:
+    """The state over batches in ``path``: the references, and the parent index they were last probed
+    with. One marker commits both, so a batch that is run again counts once, also after a restart."""
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.log = CommitLog(spark, self.path)
+        self.last = (self.log.latest() or (-1, {}))[0]
+
+    def _read(self, kind: str) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.path}/{kind}-{self.last}") if self.last >= 0 else None
+
+    def state(self) -> DataFrame:
+        return self._read("state")
+
+    def advance(self, references: DataFrame, parents: DataFrame, batch: int) -> None:
+        """``references`` are new, ``parents`` all that are known now; references of keys whose parents
+        are as they were are carried over."""
+        if batch <= self.last:
+            return
+        index = cut(parent_index(parents), "index", f"{self.path}/index-{batch}")
+        known = self._read("index")
+        changed = changed_keys(known, index) if known is not None else None
+        cut(advance(self._read("state"), references, index, changed), "state", f"{self.path}/state-{batch}")
+        before, self.last = self.last, batch
+        self.log.commit(batch, {})
+        for kind in ("index", "state"):
+            if before >= 0:
+                drop_path(self.spark, f"{self.path}/{kind}-{before}")
+
+
+def as_known(parents: DataFrame, day) -> DataFrame:
+    """The parent rows that had been told by the end of ``day``: those that began by then, and of their
+    ends only those that had come."""
+    told = F.lit(day).cast("date")
+    return parents.where(F.col("valid_from").isNull() | (F.col("valid_from") <= told)).withColumn("valid_to", F.when(F.col("valid_to") <= told, F.col("valid_to")))
+
+
+def replay(references: DataFrame, parents: DataFrame, batches: int = 2) -> PendingStore:
+    """A new store that a history went through in ``batches`` spans of the references' days, each with
+    the parents known at its end and the last with all; references without a day come with the last."""
+    spark = references.sparkSession
+    store = PendingStore(spark, new_table_path(spark, "pending"))
+    span = references.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+    if span["a"] is None:
+        batches = 1
+    ends = [span["a"] + (span["b"] - span["a"]) * (k + 1) // batches for k in range(batches - 1)]
+    after = F.lit(True)
+    for k, end in enumerate(ends):
+        upto = F.coalesce(F.col("day") <= F.lit(end), F.lit(False))
+        store.advance(references.where(after & upto), as_known(parents, end), k)
+        after = ~upto
+    store.advance(references.where(after), parents, batches - 1)
+    return store
+
+
 def found(state: DataFrame) -> DataFrame:
     """The references that were orphans on their day."""
     return state.where("opened").select("table_name", "release_id", "ano", "ref_key").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import day_text, micros, trimmed
 from tessera.operators import copies, equality_delete, hierarchy, late_events, orphans, profiling, schema_drift
 from tessera.session import cut, new_table_path
+from tessera.streaming import late_state
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,22 +18,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 # 1 ---------------------------------------------------------------------------------------------
 
 
+def _late_store(spark, folder):
+    """The state after the stream has arrived in three batches."""
+    return late_state.replay(late_events.stream_rows(table(spark, folder, "municipal_rate_stream")))
+
+
 def p1_found(spark, folder):
-    rows = late_events.stream_rows(table(spark, folder, "municipal_rate_stream"))
-    return late_events.late_adjustments(rows).select(
-        F.col("row_id").alias("delivery_id"), day_text(F.col("period")).alias("event_day"), "fate"
-    )
+    """The log of adjustments of the state."""
+    return _late_store(spark, folder).corrections().select(F.col("row_id").alias("delivery_id"), day_text(F.col("period")).alias("event_day"), "fate")
+
+
+def p1_corrections(spark, folder):
+    """What the adjustments did to the count of each value of a day."""
+    store = _late_store(spark, folder)
+    counted = late_events.correction_counts(store.state(), store.corrections())
+    return counted.select(day_text(F.col("period")).alias("event_day"), "value", "n_closed", "n_correction", "n_dropped", "n")
 
 
 def p1_daily(spark, folder):
     """Each day's aggregates as corrected, and its median as it stood when the day closed."""
-    adjusted = late_events.adjustments(late_events.stream_rows(table(spark, folder, "municipal_rate_stream")))
-    counted = adjusted.groupBy("period").agg(
-        *[F.count_if(F.col("fate") == fate).alias(f"n_{fate}") for fate in (late_events.ON_TIME, late_events.CORRECTION, late_events.DROPPED)]
+    store = _late_store(spark, folder)
+    state = cut(store.state(), "state")
+    dropped = store.corrections().where(F.col("fate") == late_events.DROPPED).select("period", F.lit(-1).alias("revision"), F.lit(1).cast("long").alias("n"))
+    total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0).cast("long"))
+    revision = F.col("revision")
+    counted = state.select("period", "revision", "n").unionByName(dropped).groupBy("period").agg(
+        total(revision == 0).alias("n_on_time"), total(revision > 0).alias("n_correction"), total(revision < 0).alias("n_dropped")
     )
-    by_revision = cut(late_events.multiset(adjusted, "revision"), "multiset")
-    final = late_events.aggregates(by_revision.groupBy("period", "value").agg(F.sum("n").alias("n")))
-    closed = late_events.aggregates(by_revision.where("revision = 0").select("period", "value", "n"))
+    final = late_events.aggregates(state.groupBy("period", "value").agg(F.sum("n").alias("n")))
+    closed = late_events.aggregates(state.where("revision = 0").select("period", "value", "n"))
     closed = closed.select("period", F.col("median_value").alias("closed_median"))
     return counted.join(final, "period", "left").join(closed, "period", "left").select(
         day_text(F.col("period")).alias("event_day"), "n_on_time", "n_correction", "n_dropped", F.coalesce("n_values", F.lit(0)).alias("n_values"),
@@ -43,10 +57,8 @@ def p1_daily(spark, folder):
 
 def p1_revisions(spark, folder):
     """Each day's aggregates as they stood on the day itself and on the days after, up to the cut-off."""
-    policy = late_events.LatePolicy()
-    rows = late_events.stream_rows(table(spark, folder, "municipal_rate_stream"))
-    by_revision = late_events.multiset(late_events.adjustments(rows, policy), "revision")
-    grown = late_events.revisions(by_revision, -(-policy.cutoff_hours // 24))
+    store = _late_store(spark, folder)
+    grown = late_events.revisions(store.state(), -(-store.policy.cutoff_hours // 24))
     return late_events.aggregates(cut(grown, "revisions"), "period", "revision").select(
         day_text(F.col("period")).alias("event_day"), F.col("revision").cast("long").alias("revision"), "n_rows", "n_distinct",
         "min_value", "max_value", F.round("median_value", 6).alias("median_value"),
@@ -64,6 +76,9 @@ _DAY_SQL = "strftime(make_timestamp(d * 86400000000), '%Y-%m-%d')"
 
 P1_SQL = {
     "p1_found": _LATE_SQL + f"SELECT delivery_id, {_DAY_SQL} AS event_day, fate FROM f WHERE fate <> 'on_time'",
+    "p1_corrections": _LATE_SQL + f"""
+SELECT {_DAY_SQL} AS event_day, v AS value, count(*) FILTER (fate = 'on_time') AS n_closed, count(*) FILTER (fate = 'correction') AS n_correction,
+  count(*) FILTER (fate = 'dropped') AS n_dropped, count(*) FILTER (fate <> 'dropped') AS n FROM f GROUP BY d, v HAVING count(*) FILTER (fate <> 'on_time') > 0""",
     "p1_daily": _LATE_SQL + f"""
 SELECT {_DAY_SQL} AS event_day, count(*) FILTER (fate = 'on_time') AS n_on_time, count(*) FILTER (fate = 'correction') AS n_correction,
   count(*) FILTER (fate = 'dropped') AS n_dropped, count(v) FILTER (fate <> 'dropped') AS n_values,
@@ -252,11 +267,11 @@ SELECT x AS release_id, r AS descendant_id FROM a WHERE x <> r""",
 
 
 def _reference_state(spark, folder):
+    """The state of all references after two batches: what was stored and known up to the middle of the
+    days of arrival, and the rest, with parents that came, went or changed in between."""
     day = F.date_from_unix_date(F.call_function("div", micros(F.col("ingested_at")), F.lit(86_400_000_000)).cast("int")).alias("day")
     directory = table(spark, folder, "diretorio_municipio")
     span = (F.col("incluido_em").alias("valid_from"), F.col("excluido_em").alias("valid_to"))
-    by_id = orphans.parent_index(directory.select(F.col("id_municipio").alias("key"), *span))
-    by_uf = orphans.parent_index(directory.select(F.col("sigla_uf").alias("key"), *span))
 
     def references(name, key):
         return table(spark, folder, name).select(F.lit(name).alias("table_name"), "release_id", "ano", key.alias("ref_key"), day)
@@ -264,8 +279,11 @@ def _reference_state(spark, folder):
     municipal = references("silver_municipio", trimmed(F.col("id_municipio"))).unionByName(
         references("silver_meta_alfabetizacao_municipio", trimmed(F.col("id_municipio")))
     )
-    state = orphans.advance(None, municipal, by_id)
-    return state.unionByName(orphans.advance(None, references("silver_uf", F.upper(trimmed(F.col("sigla_uf")))), by_uf))
+    federal = references("silver_uf", F.upper(trimmed(F.col("sigla_uf"))))
+    states = [
+        orphans.replay(rows, directory.select(F.col(key).alias("key"), *span)).state() for rows, key in ((municipal, "id_municipio"), (federal, "sigla_uf"))
+    ]
+    return states[0].unionByName(states[1])
 
 
 def p5_found(spark, folder):
@@ -304,6 +322,12 @@ g AS (SELECT table_name, release_id, ano, k, kind, d, count(*) n FROM q GROUP BY
 _HOLDS = "p.k = {0}.k AND p.kind = {0}.kind AND (p.a IS NULL OR p.a <= {1}) AND (p.b IS NULL OR p.b > {1})"
 
 P5_SQL = {
+    "p5_pending": _REFERENCE_SQL + f""", e AS (SELECT table_name, ano, n, d, EXISTS (SELECT 1 FROM p WHERE {_HOLDS.format('g', 'g.d')}) held,
+  EXISTS (SELECT 1 FROM p WHERE p.k = g.k AND p.kind = g.kind AND p.a > g.d AND (p.b IS NULL OR p.b > p.a)) later,
+  EXISTS (SELECT 1 FROM p WHERE p.k = g.k AND p.kind = g.kind AND p.b > g.d AND (p.a IS NULL OR p.a < p.b)
+    AND NOT EXISTS (SELECT 1 FROM p z WHERE z.k = p.k AND z.kind = p.kind AND (z.a IS NULL OR z.a <= p.b) AND (z.b IS NULL OR z.b > p.b))) gone FROM g)
+SELECT table_name, ano, CAST(sum(n) AS BIGINT) AS n_references, CAST(coalesce(sum(n) FILTER (NOT held), 0) AS BIGINT) AS n_opened,
+  CAST(coalesce(sum(n) FILTER (NOT held AND later), 0) AS BIGINT) AS n_resolved, CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_reopened FROM e GROUP BY 1, 2""",
     "p5_found": _REFERENCE_SQL + f"SELECT DISTINCT table_name, release_id, ano, k AS ref_key FROM g WHERE NOT EXISTS (SELECT 1 FROM p WHERE {_HOLDS.format('g', 'g.d')})",
     "p5_snapshots": _REFERENCE_SQL + f""", s AS (SELECT unnest({SNAPSHOT_DAYS}::DATE[]) x),
 h AS (SELECT g.*, x FROM g JOIN s ON g.d <= x)
@@ -400,7 +424,7 @@ SELECT r AS release_id, c AS column_name, round(m, 6) AS mean, round(bm, 6) AS b
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_daily, p1_revisions, p2_found, p2_fused, p2_alternatives, p2_hashes, p2_table, p2_wide, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
+        p1_found, p1_corrections, p1_daily, p1_revisions, p2_found, p2_fused, p2_alternatives, p2_hashes, p2_table, p2_wide, p3_found, p3_current, p3_batches, p4_found, p4_hierarchy,
         p4_descendants, p5_found, p5_pending, p5_snapshots, p6_found, p6_once, p7_found, p7_profile, p7_shifts,
     )
 }

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tessera.operators import late_events as late
+from tessera.streaming import late_state
 from tessera.streaming.late_state import MultisetStore
 
 UTC = dt.timezone.utc
@@ -35,8 +36,10 @@ def test_fates_at_the_edges(spark):
     ]
     got = {r["row_id"]: r["fate"] for r in late.route(late.stream_rows(stream(spark, rows))).collect()}
     assert got == {1: "on_time", 2: "correction", 3: "correction", 4: "dropped", 5: "on_time", 6: "on_time", 7: "unplaced", 8: "unplaced", 9: "unplaced"}
-    log = {r["row_id"]: (r["delta"], r["n"]) for r in late.late_adjustments(late.stream_rows(stream(spark, rows))).collect()}
-    assert log == {2: (1, 3), 3: (1, 3), 4: (0, 3)}
+    store = late_state.replay(late.stream_rows(stream(spark, rows)))
+    assert {r["row_id"]: r["delta"] for r in store.corrections().collect()} == {2: 1, 3: 1, 4: 0}
+    counts = [tuple(r)[1:] for r in late.correction_counts(store.state(), store.corrections()).collect()]
+    assert counts == [(Decimal(1), 1, 2, 1, 3)]
 
 
 def random_rows(n, seed=1):
@@ -76,12 +79,23 @@ def test_aggregates_against_the_records(spark, n):
 
 def test_batches_in_any_order_give_the_same(spark, tmp_path):
     rows = random_rows(200, 2)
-    store = MultisetStore(spark, str(tmp_path / "state"))
-    for k in (2, 0, 1):
+    for n, k in enumerate((2, 0, 1)):
+        store = MultisetStore(spark, str(tmp_path / "state"))  # as after a restart
+        assert store.last == n - 1
         batch = late.stream_rows(stream(spark, [r for r in rows if r[0] % 3 == k]))
         store.apply(batch, store.last + 1)
         store.apply(batch, store.last)  # a batch that is run again counts once
+        if n == 1:
+            store.compact()
     assert read(store.aggregates()) == expected(rows)
+    fates = {r["row_id"]: r["fate"] for r in late.route(late.stream_rows(stream(spark, rows))).where("fate <> 'on_time'").collect()}
+    assert {r["row_id"]: r["fate"] for r in store.corrections().collect()} == fates
+
+
+@pytest.mark.parametrize("n", [0, 150])
+def test_a_replay_equals_the_batch(spark, n):
+    rows = random_rows(n, 7)
+    assert read(late_state.replay(late.stream_rows(stream(spark, rows)), 4).aggregates()) == expected(rows)
 
 
 def test_a_drained_stream_equals_the_batch(spark, tmp_path):

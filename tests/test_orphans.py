@@ -58,3 +58,20 @@ def test_batches_equal_one_batch(spark):
 def test_empty(spark):
     assert orphans.advance(None, refs(spark, []), index(spark, [])).count() == 0
     assert orphans.found(orphans.advance(None, refs(spark, [("t", "r", 1, "a", D(2025, 1, 1))]), index(spark, []))).count() == 1
+
+
+def test_a_replay_in_batches_equals_one_batch(spark):
+    """Parents arrive and go between the batches: waiting references are resolved, found ones opened again."""
+    random.seed(8)
+    day = lambda: D(2025, 1, 1) + dt.timedelta(random.randrange(60))
+    parents = spark.createDataFrame([(random.choice("abcde"), random.choice([day(), None]), random.choice([None, day()]), None, None) for _ in range(14)], PARENT)
+    rows = [("t", random.choice("rs"), random.choice([1, None]), random.choice("abcdef"), random.choice([day(), day(), None])) for _ in range(150)]
+    whole = orphans.advance(None, refs(spark, rows), orphans.parent_index(parents))
+    as_set = lambda df: {str(r) for r in df.drop("spans").collect()}
+    for batches in (1, 2, 4):
+        store = orphans.replay(refs(spark, rows), parents, batches)
+        assert store.last == batches - 1 and as_set(store.state()) == as_set(whole)
+        again = orphans.PendingStore(spark, store.path)  # as after a restart
+        again.advance(refs(spark, rows), parents, batches - 1)
+        assert as_set(again.state()) == as_set(whole)
+    assert orphans.replay(refs(spark, []), parents).state().count() == 0
