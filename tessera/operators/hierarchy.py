@@ -7,8 +7,9 @@ log2(d) rounds, each one shuffle join of the nodes that are still climbing.
    node what the nodes exactly 2^k below it have counted (summed before the shuffle).
 2. Sibling ranges: prefix sums of the sizes over the siblings, in two levels (blocks of siblings,
    then within a block), so a parent of a third of all rows is no single task.
-3. Downward: a node's preorder place is the sum of the sibling offsets on its way to the root, by
-   the same doubled pointers. ``[place, place + size)`` holds exactly its subtree.
+3. Downward: a node's preorder place is the sum of the sibling offsets on its way from the root, its
+   depth the number of ranges on that way and its root the outermost of them. ``[place, place + size)``
+   holds exactly its subtree.
 
 A node whose pointer never reaches a root was not processed: it is on a cycle or runs into one.
 
@@ -23,7 +24,7 @@ Defined cases
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import trimmed
@@ -34,14 +35,17 @@ SIBLINGS_PER_BLOCK = 50_000
 
 
 class _Rounds:
-    """Tables of the rounds; only the newest is kept."""
+    """Tables of the rounds; only the newest is kept. How many nodes are still climbing is counted while
+    a table is written."""
 
     def __init__(self, spark, label):
-        self.spark, self.label, self.last = spark, label, None
+        self.spark, self.label, self.last, self.climbing = spark, label, None, 0
 
     def write(self, df: DataFrame) -> DataFrame:
         path = new_table_path(self.spark, self.label)
-        out = cut(df, self.label, path)
+        seen = Observation(self.label)
+        out = cut(df.observe(seen, F.count_if(F.col("up").isNotNull()).alias("climbing")), self.label, path)
+        self.climbing = seen.get["climbing"]
         if self.last:
             drop_path(self.spark, self.last)
         self.last = path
@@ -58,40 +62,29 @@ def parent_links(rows: DataFrame, node: str, parent: str, root_marks=("", "__boo
 
 
 def climb(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(settled, cyclic): all nodes with root, depth and number of descendants; and the nodes that
-    reach no root, with the smallest node of their cycle."""
-    spark = links.sparkSession
-    rounds, settled_paths = _Rounds(spark, "climb"), []
-    # up: the 2^k-th ancestor; top: the last node reached; least: the smallest of the 2^k nodes from here
-    state = rounds.write(
-        links.select(
-            "node", "parent", F.col("parent").alias("up"), F.lit(0).cast("long").alias("below"),
-            F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("dist"),
-            F.coalesce("parent", "node").alias("top"), F.col("node").alias("least"),
-        )
-    )
-    climbing, reach = state.where(F.col("up").isNotNull()).count(), 1
-    while climbing:
-        gained = state.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("to")).agg(F.sum(F.col("below") + 1).alias("gain"))
-        ahead = state.select(
-            F.col("node").alias("at"), F.col("up").alias("up2"), F.col("dist").alias("dist2"),
-            F.col("top").alias("top2"), F.col("least").alias("least2"),
-        )
-        moving, still = state.where(F.col("up").isNotNull()), state.where(F.col("up").isNull())
+    """(settled, cyclic): the nodes that reach a root, with the number of their descendants; and those
+    that were not processed, with the smallest node of their cycle."""
+    rounds = _Rounds(links.sparkSession, "climb")
+    # up: the 2^k-th ancestor; least: the smallest of the 2^k nodes from here
+    state = rounds.write(links.select("node", "parent", F.col("parent").alias("up"), F.lit(0).cast("long").alias("below"), F.col("node").alias("least")))
+    reach = 1
+    while rounds.climbing:
+        moving = state.where(F.col("up").isNotNull())
+        gained = moving.groupBy(F.col("up").alias("to")).agg(F.sum(F.col("below") + 1).alias("gain"))
+        ahead = state.select(F.col("node").alias("at"), F.col("up").alias("up2"), F.col("least").alias("least2"))
         stepped = moving.join(ahead, moving["up"] == ahead["at"]).select(
-            "node", "parent", F.col("up2").alias("up"), "below", (F.col("dist") + F.col("dist2")).alias("dist"),
-            F.col("top2").alias("top"), F.least("least", "least2").alias("least"),
-        ).unionByName(still)
+            "node", "parent", F.col("up2").alias("up"), "below", F.least("least", "least2").alias("least")
+        ).unionByName(state.where(F.col("up").isNull()))
+        before = rounds.climbing
         state = rounds.write(
             stepped.join(gained, stepped["node"] == gained["to"], "left").select(
-                "node", "parent", "up", (F.col("below") + F.coalesce("gain", F.lit(0))).cast("long").alias("below"), "dist", "top", "least"
+                "node", "parent", "up", (F.col("below") + F.coalesce("gain", F.lit(0))).cast("long").alias("below"), "least"
             )
         )
         reach *= 2
-        before, climbing = climbing, state.where(F.col("up").isNotNull()).count()
-        if climbing == before and reach > climbing:
+        if rounds.climbing == before and reach > before:
             break
-    settled = state.where(F.col("up").isNull()).select("node", "parent", F.col("top").alias("root"), F.col("dist").alias("depth"), "below")
+    settled = state.where(F.col("up").isNull()).select("node", "parent", "below")
     stuck = state.where(F.col("up").isNotNull())
     on_cycle = stuck.select(F.col("node").alias("at"), F.col("least").alias("cycle_root"))
     cyclic = stuck.join(on_cycle, stuck["up"] == on_cycle["at"], "inner").select("node", "parent", "cycle_root")
@@ -114,24 +107,26 @@ def sibling_offsets(sized: DataFrame, block: int = SIBLINGS_PER_BLOCK) -> DataFr
 
 
 def descend(settled: DataFrame, with_path: bool = True) -> DataFrame:
-    """Preorder places (and paths, root first) by summing offsets along the doubled pointers."""
-    spark = settled.sparkSession
-    rounds = _Rounds(spark, "descend")
-    offsets = sibling_offsets(settled)
+    """Preorder places, depths and roots (and paths, root first) by summing along the doubled pointers:
+    sibling offsets for the place, one for each step for the depth."""
+    rounds = _Rounds(settled.sparkSession, "descend")
     path = F.array("node") if with_path else F.lit(None).cast("array<string>")
     state = rounds.write(
-        settled.join(offsets, "node", "left").select(
-            "node", "parent", "root", "depth", "below", F.col("parent").alias("up"),
+        settled.join(sibling_offsets(settled), "node", "left").select(
+            "node", "parent", "below", F.col("parent").alias("up"), F.coalesce("parent", "node").alias("root"),
+            F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
             F.coalesce("offset", F.lit(0)).cast("long").alias("place"), path.alias("path"),
         )
     )
-    deepest = settled.agg(F.max("depth")).first()[0] or 0
-    for _ in range(int(deepest).bit_length()):
-        ahead = state.select(F.col("node").alias("at"), F.col("up").alias("up2"), F.col("place").alias("place2"), F.col("path").alias("path2"))
+    while rounds.climbing:
+        ahead = state.select(
+            F.col("node").alias("at"), F.col("up").alias("up2"), F.col("root").alias("root2"), F.col("depth").alias("depth2"),
+            F.col("place").alias("place2"), F.col("path").alias("path2"),
+        )
         moving, still = state.where(F.col("up").isNotNull()), state.where(F.col("up").isNull())
         state = rounds.write(
             moving.join(ahead, moving["up"] == ahead["at"]).select(
-                "node", "parent", "root", "depth", "below", F.col("up2").alias("up"),
+                "node", "parent", "below", F.col("up2").alias("up"), F.col("root2").alias("root"), (F.col("depth") + F.col("depth2")).alias("depth"),
                 (F.col("place") + F.col("place2")).alias("place"), F.concat("path2", "path").alias("path"),
             ).unionByName(still)
         )
