@@ -36,7 +36,6 @@ Defined cases
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,19 +190,16 @@ class MessageStore:
             return None
         behind = self._behind()
         late = fresh.where(behind).agg(F.count(F.lit(1)).alias("n"), F.min("event_us").alias("since")).first()
-
-        def meet(probes, stored):
-            stored = stored.select("h1", "h2", F.col("first").alias("root"))
-            return probes.select("h1", "h2", F.col("first").alias("u")).join(stored, ["h1", "h2"]).select("u", "root")
-
-        parts = [meet(fresh, self._seen([int(k) for k in self.version["hot"]]).where(~behind))]
-        archive = self._seen(self._batches()).where(behind)
+        # an event key holds its event time, so one ahead of the watermark has no like behind it
+        met = ~behind
         if not self.timed_messages:
-            parts.append(meet(fresh.where("is_message"), archive.where("is_message")))
-            archive = archive.where("NOT is_message")
+            met = met | F.col("is_message")
         if late["n"]:
-            parts.append(meet(fresh.where(behind), archive.where(F.col("event_us").isNull() | (F.col("event_us") >= F.lit(late["since"])))))
-        return reduce(DataFrame.unionByName, parts).distinct()
+            met = met | F.col("event_us").isNull() | F.coalesce(F.col("event_us") >= F.lit(late["since"]), F.lit(False))
+        only_hot = self.timed_messages and not late["n"]
+        stored = self._seen([int(k) for k in self.version["hot"]] if only_hot else self._batches()).where(met)
+        stored = stored.select("h1", "h2", F.col("first").alias("root"))
+        return fresh.select("h1", "h2", F.col("first").alias("u")).join(stored, ["h1", "h2"]).select("u", "root").distinct()
 
     def roots(self, rows: DataFrame, links: DataFrame) -> DataFrame:
         """Of each row in ``rows`` (with a column ``root``) the first of its class as it is now: links are

@@ -201,37 +201,11 @@ def target_vs_result(spark, folder):
     return joined.withColumn("gap_pp", gap).withColumn("status_meta", F.when(gap >= 0, "atingida").when(gap < 0, "nao_atingida"))
 
 
-@query("""SELECT l.l_orderkey, count(*) AS n FROM lineitem l LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 7 <> 0) o ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL GROUP BY 1""")
+@query("""SELECT s.id_municipio, count(*) AS n FROM silver_municipio s LEFT JOIN (SELECT DISTINCT id_municipio FROM diretorio_municipio) d USING (id_municipio) WHERE d.id_municipio IS NULL GROUP BY 1""")
 def orphan_rows(spark, folder):
-    """Lines whose order does not exist, per order key."""
-    parents = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
-    return relational.orphan_rows(table(spark, folder, "lineitem").select("l_orderkey"), parents, ["l_orderkey"]).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(f"""WITH m AS {_M}, t AS {_T}, dm AS (SELECT DISTINCT id_municipio FROM diretorio_municipio), du AS (SELECT DISTINCT sigla_uf FROM diretorio_municipio),
-mk AS (SELECT DISTINCT release_id, ano, id_municipio, rede FROM m)
-SELECT 'municipio_diretorio' AS relation_name, count(*) AS checked_rows, count(*) FILTER (d.id_municipio IS NULL) AS missing_rows FROM m LEFT JOIN dm d USING (id_municipio)
-UNION ALL SELECT 'meta_municipio_diretorio', count(*), count(*) FILTER (d.id_municipio IS NULL) FROM t LEFT JOIN dm d USING (id_municipio)
-UNION ALL SELECT 'uf_diretorio', count(*), count(*) FILTER (du.sigla_uf IS NULL) FROM silver_uf u LEFT JOIN du ON du.sigla_uf = upper(trim(u.sigla_uf))
-UNION ALL SELECT 'meta_municipio_resultado', count(*), count(*) FILTER (mk.ano IS NULL) FROM t LEFT JOIN mk ON mk.release_id = t.release_id AND mk.ano = t.ano AND mk.id_municipio = t.id_municipio AND mk.rede = t.rede WHERE t.rede = 'municipal'
-UNION ALL SELECT 'pedido_cliente', count(*), count(*) FILTER (c_custkey IS NULL) FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-UNION ALL SELECT 'cliente_nacao', count(*), count(*) FILTER (n_nationkey IS NULL) FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-UNION ALL SELECT 'item_peca', count(*), count(*) FILTER (p_partkey IS NULL) FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 3) ON l_partkey = p_partkey""")
-def relationship_checks(spark, folder):
-    """Seven relations: references checked and missing."""
-    rows = lambda name: table(spark, folder, name)
-    results, targets = staged(spark, folder, "silver_municipio"), staged(spark, folder, "silver_meta_alfabetizacao_municipio", "target")
-    known, check = rows("diretorio_municipio"), relational.relationship_check
-    renamed = lambda df, a, b: df.select(F.col(a).alias(b))
-    return relational.union_all([
-        check(results, known, ["id_municipio"], "municipio_diretorio"),
-        check(targets, known, ["id_municipio"], "meta_municipio_diretorio"),
-        check(staged(spark, folder, "silver_uf"), known, ["sigla_uf"], "uf_diretorio"),
-        check(targets.where("rede = 'municipal'"), results, KEY, "meta_municipio_resultado"),
-        check(rows("orders"), renamed(rows("customer"), "c_custkey", "o_custkey"), ["o_custkey"], "pedido_cliente"),
-        check(rows("customer"), renamed(rows("nation"), "n_nationkey", "c_nationkey"), ["c_nationkey"], "cliente_nacao"),
-        check(rows("lineitem"), renamed(rows("part"), "p_partkey", "l_partkey"), ["l_partkey"], "item_peca"),
-    ])
+    """Result rows whose municipality the directory never had, as written; a null one is an orphan too."""
+    rows = table(spark, folder, "silver_municipio").select("id_municipio")
+    return relational.orphan_rows(rows, table(spark, folder, "diretorio_municipio"), ["id_municipio"]).groupBy("id_municipio").agg(F.count(F.lit(1)).alias("n"))
 
 
 # duplicates ------------------------------------------------------------------------------------
@@ -299,15 +273,11 @@ def top_k_per_group(spark, folder):
     return relational.ranked(rows, ["user_id"], order, "place").where("place <= 3").select("user_id", "event_id", F.col("place").cast("long").alias("place"))
 
 
-@query("SELECT 'one' AS pointer, 'r1' AS release_id")
+@query("SELECT status AS pointer, min(release_id) AS release_id FROM release_registry WHERE status IN ('active', 'failed', 'none') GROUP BY 1 HAVING count(*) = 1")
 def singleton_guard(spark, folder):
-    """A pointer of one row is read, one of two rows or none gives nothing."""
-    pointers = {"one": ["r1"], "two": ["r1", "r2"], "none": []}
-    parts = [
-        relational.only_if_single(spark.createDataFrame([(x,) for x in ids], "release_id string")).select(F.lit(name).alias("pointer"), "release_id")
-        for name, ids in pointers.items()
-    ]
-    return relational.union_all(parts)
+    """A pointer of one row is read, one of several rows or none gives nothing."""
+    registry = table(spark, folder, "release_registry").select(F.col("status").alias("pointer"), "release_id")
+    return relational.union_all([relational.only_if_single(registry.where(F.col("pointer") == name)) for name in ("active", "failed", "none")])
 
 
 @query("SELECT o_orderstatus, arg_min(o_orderkey, (o_totalprice, o_orderkey)) AS cheapest, max(o_totalprice) AS dearest FROM orders GROUP BY 1")
@@ -487,10 +457,10 @@ def range_violations(spark, folder):
     return relational.range_violations(table(spark, folder, "silver_municipio"), "media_portugues", 0, 1000).select("release_id", "id_municipio", "media_portugues")
 
 
-@query(f"SELECT release_id, count(*) AS n FROM silver_uf WHERE abs({' + '.join(f'coalesce({c}, 0)' for c in LEVELS)} - 100) > 0.5 GROUP BY 1")
+@query(f"SELECT release_id, count(*) AS n FROM silver_municipio WHERE abs({' + '.join(f'coalesce({c}, 0)' for c in LEVELS)} - 100) > 0.5 GROUP BY 1")
 def proportion_sum(spark, folder):
     """Rows whose proportions do not sum to 100, a null counting as 0."""
-    return relational.total_violations(table(spark, folder, "silver_uf"), LEVELS, 100, 0.5).groupBy("release_id").agg(F.count(F.lit(1)).alias("n"))
+    return relational.total_violations(table(spark, folder, "silver_municipio"), LEVELS, 100, 0.5).groupBy("release_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""SELECT source, max(date_diff('day', CAST(make_timestamp(epoch_us(verified_at)) AS DATE), DATE '{AS_OF}')) AS oldest_days, count(verified_at) AS n_verified,
@@ -507,26 +477,46 @@ def latest_completed_manifest(spark, folder):
     return done.groupBy("source", "year").agg(F.max_by("run_id", F.struct("completed_at", "run_id")).alias("run_id"))
 
 
-@query("SELECT count(*) AS n_rows FROM silver_municipio")
+_FINGERED = {c: "decimal(28,9)" for c in ("media_portugues", "taxa_alfabetizacao", *LEVELS)} | {
+    "ano": "bigint", "ano_particao": "date", "id_municipio": "string", "ingested_at": "timestamp", "rede": "string", "release_id": "string", "serie": "string", "source_run_id": "string",
+}
+
+
+def _fingerprint_sql() -> str:
+    value = lambda c, kind: f"CAST({f'epoch_us({c})' if kind == 'timestamp' else c} AS VARCHAR)"
+    text = " || ".join(f"'{len(c)}:{c} {kind} ' || coalesce('=' || strlen({value(c, kind)}) || ':' || {value(c, kind)}, '-')" for c, kind in sorted(_FINGERED.items()))
+    limbs = ", ".join(f"sum(CAST('0x' || substr({m}, {8 * k + 1}, 8) AS BIGINT)) {m}{k}" for m in "ab" for k in range(8))
+    carried = ", ".join(f"{m}{k}" + (f" + {m}t{k + 1} // 4294967296" if k < 7 else "") + f" AS {m}t{k}" for m in "ab" for k in range(7, -1, -1))
+    shown = lambda m: " || ".join(f"printf('%08x', CAST({m}t{k} % 4294967296 AS BIGINT))" for k in range(8))
+    return f"""WITH t AS (SELECT {text} x FROM silver_municipio), h AS (SELECT sha256('a' || x) a, sha256('b' || x) b FROM t),
+s AS (SELECT count(*) n, {limbs} FROM h), c AS (SELECT n, {carried} FROM s) SELECT n AS n_rows, {shown('a')} AS first_sum, {shown('b')} AS second_sum FROM c"""
+
+
+@query(_fingerprint_sql())
 def content_fingerprint(spark, folder):
-    """The multiset fingerprint of a table, over all its columns: the row count and both sums. It does
-    not change with partitions and order."""
-    rows = table(spark, folder, "silver_municipio")
-    n, one, two = fingerprint.multiset_fingerprint(rows)
-    again = fingerprint.multiset_fingerprint(rows.repartition(5).select(*reversed(rows.columns)))
-    if again != (n, one, two):
-        raise RuntimeError("the fingerprint depends on the order of rows")
-    return spark.createDataFrame([(n, one, two)], "n_rows long, first_sum string, second_sum string")
+    """The multiset fingerprint of a table, over all its columns: the row count and both sums."""
+    found = fingerprint.multiset_fingerprint(table(spark, folder, "silver_municipio"))
+    return spark.createDataFrame([found], "n_rows long, first_sum string, second_sum string")
+
+
+@query("SELECT source, count(*) AS n_rows, bit_xor(CAST('0x' || md5(run_id || '|' || line_no || '|' || coalesce(payload, ''))[:15] AS BIGINT)) AS fingerprint FROM landing_record JOIN (SELECT run_id, min(source) source FROM batch_manifest GROUP BY 1) USING (run_id) GROUP BY 1")
+def xor_fingerprints(spark, folder):
+    """The legacy fingerprint: exclusive or of row hashes, in which pairs of equal rows cancel, per source."""
+    runs = table(spark, folder, "batch_manifest").groupBy("run_id").agg(F.min("source").alias("source"))
+    digest = F.md5(F.concat(F.col("run_id"), F.lit("|"), F.col("line_no").cast("string"), F.lit("|"), F.coalesce("payload", F.lit(""))))
+    rows = table(spark, folder, "landing_record").join(runs, "run_id").select("source", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("h"))
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor("h").alias("fingerprint"))
 
 
 # streams, as their settled batch form ----------------------------------------------------------
 
-_STREAM = "(SELECT *, epoch_us(CAST(event_time AS TIMESTAMPTZ)) et, lower(event_id) eid FROM municipal_rate_stream WHERE message_id IS NOT NULL AND event_id IS NOT NULL)"
-_TRANSPORT = f"""tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY ingestion_time DESC NULLS LAST, publish_time DESC, et DESC, eid DESC, delivery_id DESC) k FROM {_STREAM}) WHERE k = 1)"""
-_LOGICAL = f"""{_TRANSPORT}, lg AS (SELECT *, row_number() OVER (PARTITION BY eid ORDER BY et DESC, publish_time DESC, ingestion_time DESC NULLS LAST, message_id DESC) g FROM tr)"""
+_STREAM = "(SELECT *, epoch_us(CAST(event_time AS TIMESTAMPTZ)) et, lower(event_id) eid, CASE WHEN message_id IS NULL THEN delivery_id END om, CASE WHEN event_id IS NULL THEN delivery_id END oe FROM municipal_rate_stream)"
+_TRANSPORT = f"""tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY message_id, om ORDER BY ingestion_time DESC NULLS LAST, publish_time DESC, et DESC, eid DESC NULLS LAST, delivery_id DESC) k FROM {_STREAM}) WHERE k = 1)"""
+_LOGICAL = f"""{_TRANSPORT}, lg AS (SELECT *, row_number() OVER (PARTITION BY eid, oe ORDER BY et DESC, publish_time DESC, ingestion_time DESC NULLS LAST, message_id DESC NULLS LAST, delivery_id DESC) g FROM tr)"""
 
 
 MESSAGE, EVENT = ["message_id", "own_message"], ["eid", "own_event"]
+EVENT_ORDER = ["et", "publish_time", "ingestion_time", "message_id", "delivery_id"]
 
 
 def stream_rows(spark, folder):
@@ -545,11 +535,6 @@ def transport_latest(spark, folder):
     return relational.latest(rows, MESSAGE, ["ingestion_time", "publish_time", "et", "eid", "delivery_id"])
 
 
-def logical_ranked(spark, folder):
-    order = [F.col("et").desc(), F.col("publish_time").desc(), F.col("ingestion_time").desc_nulls_last(), F.col("message_id").desc()]
-    return relational.ranked(transport_latest(spark, folder), EVENT, order, "event_rank")
-
-
 @query(f"WITH {_TRANSPORT} SELECT message_id, delivery_id FROM tr")
 def stream_transport_dedup(spark, folder):
     return transport_latest(spark, folder).select("message_id", "delivery_id")
@@ -557,32 +542,17 @@ def stream_transport_dedup(spark, folder):
 
 @query(f"WITH {_LOGICAL} SELECT eid AS event_id, delivery_id, taxa_alfabetizacao FROM lg WHERE g = 1")
 def stream_latest(spark, folder):
-    rows = relational.latest(transport_latest(spark, folder), EVENT, ["et", "publish_time", "ingestion_time", "message_id"], ["delivery_id", "taxa_alfabetizacao"])
+    rows = relational.latest(transport_latest(spark, folder), EVENT, EVENT_ORDER, ["delivery_id", "taxa_alfabetizacao"])
     return rows.select(F.col("eid").alias("event_id"), "delivery_id", "taxa_alfabetizacao")
 
 
 @query(f"WITH {_LOGICAL} SELECT eid AS event_id, message_id, delivery_id FROM lg WHERE g > 1")
 def stream_audit(spark, folder):
-    """The copies that the latest version of each event replaced."""
-    return logical_ranked(spark, folder).where("event_rank > 1").select(F.col("eid").alias("event_id"), "message_id", "delivery_id")
-
-
-@query(f"""WITH {_LOGICAL}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ano, id_municipio, rede ORDER BY et DESC, publish_time DESC, eid DESC) w FROM lg
-WHERE g = 1 AND et > epoch_us(TIMESTAMPTZ '2025-06-01 00:00:00+00')) WHERE w = 1),
-b AS (SELECT DISTINCT ano, id_municipio, rede FROM municipal_rate_stream WHERE publish_time < TIMESTAMPTZ '2025-06-01 00:00:00+00')
-SELECT b.ano, b.id_municipio, b.rede, o.taxa_alfabetizacao, CASE WHEN o.eid IS NULL THEN 'batch_oficial' ELSE 'stream_simulacao' END AS origem FROM b LEFT JOIN o USING (ano, id_municipio, rede)""")
-def late_event_overlay(spark, folder):
-    """Events after the moment of promotion laid over what there was; the pointer is read first, and
-    if it is not one row there is no overlay."""
-    pointer = spark.createDataFrame([("r1", "2025-06-01 00:00:00")], "release_id string, promoted_at string").select(micros(F.col("promoted_at")).alias("promoted_us"))
-    promoted = relational.only_if_single(pointer).first()
-    latest = relational.latest(transport_latest(spark, folder), EVENT, ["et", "publish_time", "ingestion_time", "message_id"])
-    after = latest.where(F.col("et") > F.lit(promoted["promoted_us"] if promoted else None))
-    overlay = relational.latest(after, ["ano", "id_municipio", "rede"], ["et", "publish_time", "eid"], ["taxa_alfabetizacao", "delivery_id"])
-    base = table(spark, folder, "municipal_rate_stream").where(micros(F.col("publish_time")) < micros(F.lit("2025-06-01 00:00:00"))).select("ano", "id_municipio", "rede").distinct()
-    return base.join(overlay, ["ano", "id_municipio", "rede"], "left").select(
-        "ano", "id_municipio", "rede", "taxa_alfabetizacao", F.when(F.col("delivery_id").isNull(), "batch_oficial").otherwise("stream_simulacao").alias("origem")
-    )
+    """The copies that the latest version of each event replaced: all but that one, so no event's copies
+    are ranked in one task."""
+    messages = transport_latest(spark, folder)
+    kept = relational.latest(messages, EVENT, EVENT_ORDER, ["delivery_id"]).select("delivery_id")
+    return messages.join(kept, "delivery_id", "left_anti").select(F.col("eid").alias("event_id"), "message_id", "delivery_id")
 
 
 @query("""WITH h AS (SELECT *, event_id % 2 s FROM events), c AS (SELECT user_id, event_type, max((ts, event_id, value)) m FROM h WHERE s = 0 GROUP BY 1, 2),

@@ -366,11 +366,11 @@ P6_SQL = {"p6_found": _COPIES_SQL, "p6_once": _COPIES_SQL}
 def _compared(spark, folder):
     profile = profiling.numeric_profile(table(spark, folder, "silver_municipio"), "release_id", profiling.SILVER_EXPECTATIONS)
     # a row per load and column, read for the load itself and for whatever was built on it
-    return profiling.with_baseline(cut(profile, "profile"), table(spark, folder, "release_registry"))
+    return profiling.with_baseline(cut(profile, "profile"), table(spark, folder, "release_registry"), profiling.SILVER_EXPECTATIONS)
 
 
 def p7_found(spark, folder):
-    return profiling.findings(_compared(spark, folder), profiling.SILVER_EXPECTATIONS).select(F.col("load").alias("release_id"), "column_name", "finding")
+    return profiling.findings(_compared(spark, folder)).select(F.col("load").alias("release_id"), "column_name", "finding")
 
 
 def p7_profile(spark, folder):

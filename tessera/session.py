@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.sources.files import Files
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -56,9 +58,7 @@ def new_table_path(spark: SparkSession, label: str) -> str:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a table written by ``cut``; quiet when it is already gone."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    Files(spark).delete(path)
 
 
 def cut(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -76,44 +76,25 @@ def cut(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 class CommitLog:
     """Numbered markers beside the tables of a state: a version holds as soon as its marker is there.
 
-    A marker is written complete under another name and then renamed, and the markers before it stay
-    until it is; whatever stops a writer, the highest marker is a complete version. One writer at a
-    time; a number is committed once.
+    A marker is written complete under another name and then given its own, and the markers before it
+    stay until it has it; whatever stops a writer, the highest marker is a complete version. A number is
+    committed once.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.path = path.rstrip("/")
-        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _at(self, name: str = ""):
-        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self._conf), path
+        self.path, self._files = path.rstrip("/"), Files(spark)
 
     def numbers(self) -> list[int]:
-        fs, path = self._at()
-        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        names = self._files.names(self.path)
         return sorted(int(n[7:-5]) for n in names if n.startswith("marker-") and n.endswith(".json"))
 
     def latest(self) -> tuple[int, dict] | None:
         numbers = self.numbers()
-        if not numbers:
-            return None
-        fs, path = self._at(f"marker-{numbers[-1]}.json")
-        stream = fs.open(path)
-        try:
-            return numbers[-1], json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return (numbers[-1], json.loads(self._files.read_text(f"{self.path}/marker-{numbers[-1]}.json"))) if numbers else None
 
     def commit(self, number: int, content: dict) -> None:
-        fs, beside = self._at(f".new-{uuid.uuid4().hex}")
-        stream = fs.create(beside, True)
-        stream.write(bytearray(json.dumps(content), "utf-8"))
-        stream.close()
-        _, path = self._at(f"marker-{number}.json")
-        if fs.exists(path) or not fs.rename(beside, path):
-            fs.delete(beside, False)
+        if not self._files.write_new(f"{self.path}/marker-{number}.json", json.dumps(content)):
             raise RuntimeError(f"version {number} is committed already")
         for old in self.numbers():
             if old < number - 1:
-                fs.delete(self._at(f"marker-{old}.json")[1], False)
+                self._files.delete(f"{self.path}/marker-{old}.json")

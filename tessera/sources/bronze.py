@@ -6,17 +6,20 @@ import hashlib
 import json
 import uuid
 from collections.abc import Sequence
-from pathlib import Path
+from dataclasses import dataclass
 
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.relational import only_if_single
 from tessera.sources.contracts import Contract
+from tessera.sources.files import Files
 
 #: No query may plan to read more than this many bytes.
 MAX_BYTES = 25 << 30
+#: A table of one release has at most this many files.
+MAX_FILES = 100_000
 
 
 def year_extract(table: DataFrame, contract: Contract, year: int) -> DataFrame:
@@ -45,42 +48,45 @@ def export_snapshot(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
-def parquet_files(path: str) -> list[Path]:
-    return sorted(p for p in Path(path).rglob("*.parquet") if not p.name.startswith((".", "_")))
+def parquet_files(spark: SparkSession, path: str) -> list[str]:
+    return Files(spark).find(path, ".parquet")
 
 
-def validate_landing(path: str, contract: Contract) -> list[str]:
-    """What is wrong with the files of a landing folder: order, names, types, compression."""
-    wanted = [(f.name, {"long": "int64", "double": "double", "string": "string"}[f.dataType.typeName()]) for f in contract.schema]
-    problems = []
-    for file in parquet_files(path):
-        meta = pq.ParquetFile(file)
-        if [(f.name, str(f.type).replace("large_", "")) for f in meta.schema_arrow] != wanted:
-            problems.append(f"{file.name}: schema")
-        groups = range(meta.metadata.num_row_groups)
-        if any(meta.metadata.row_group(g).column(c).compression != "SNAPPY" for g in groups for c in range(meta.metadata.num_columns)):
-            problems.append(f"{file.name}: compression")
+#: How a contract's types stand in a Parquet file.
+_PARQUET_TYPES = {"bigint": "INT64", "double": "DOUBLE", "string": "BINARY STRING"}
+
+
+def validate_landing(spark: SparkSession, path: str, contract: Contract) -> list[str]:
+    """What is wrong with the files of a landing folder: order, names, types, nullability, compression.
+    Only footers are read."""
+    files, wanted, problems = Files(spark), [(f.name, _PARQUET_TYPES[f.dataType.simpleString()], f.nullable) for f in contract.schema], []
+    for file in files.find(path, ".parquet"):
+        columns, codecs = files.footer(file)
+        name = file.rpartition("/")[2]
+        if [c[:2] for c in columns] != [w[:2] for w in wanted]:
+            problems.append(f"{name}: schema")
+        elif columns != wanted:
+            problems.append(f"{name}: nullability")
+        if codecs - {"SNAPPY"}:
+            problems.append(f"{name}: compression")
     return problems
 
 
-def copy_immutable(source: str, target: str) -> bool:
+def copy_immutable(spark: SparkSession, source: str, target: str) -> bool:
     """Copy a file to a new place. The same bytes again are accepted (False: nothing was written);
     other bytes under the same name are refused."""
-    data, place = Path(source).read_bytes(), Path(target)
-    place.parent.mkdir(parents=True, exist_ok=True)
-    try:
-        with place.open("xb") as out:
-            out.write(data)
+    files = Files(spark)
+    if files.copy_new(source, target):
         return True
-    except FileExistsError:
-        if hashlib.sha256(place.read_bytes()).digest() != hashlib.sha256(data).digest():
-            raise ValueError(f"{place.name} exists with other content") from None
-        return False
+    if files.sha256(source) != files.sha256(target):
+        raise ValueError(f"{target} exists with other content")
+    return False
 
 
-def schema_artifact(spark: SparkSession, contract: Contract, path: str) -> None:
-    """A table without rows that pins the contract's types."""
-    spark.createDataFrame([], contract.schema).coalesce(1).write.mode("overwrite").parquet(path)
+def schema_artifact(spark: SparkSession, contract: Contract, path: str, demo: bool = False) -> None:
+    """A table without rows, or with one row of nulls for a demonstration, that pins the contract's types."""
+    rows = [tuple(None for _ in contract.columns)] if demo else []
+    spark.createDataFrame(rows, contract.schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def inspect(df: DataFrame) -> list[tuple[int, str, str, str]]:
@@ -88,21 +94,53 @@ def inspect(df: DataFrame) -> list[tuple[int, str, str, str]]:
     return [(i + 1, f.name, f.dataType.simpleString(), "NULLABLE" if f.nullable else "REQUIRED") for i, f in enumerate(df.schema.fields)]
 
 
+@dataclass(frozen=True)
+class SourceInspection:
+    location: str
+    modified_ms: int
+    etag: str
+    columns: list[tuple[int, str, str, str]]
+
+
+def inspect_source(spark: SparkSession, path: str) -> SourceInspection:
+    """A stored source: where it lies, when it last changed, a tag of its files (names, sizes by their
+    time of change), and its columns."""
+    files = Files(spark)
+    stamped = [(f, files.modified_ms(f)) for f in files.find(path, ".parquet")]
+    tag = hashlib.sha256(json.dumps(stamped).encode()).hexdigest()
+    return SourceInspection(path, max((t for _, t in stamped), default=0), tag, inspect(spark.read.parquet(path)))
+
+
+def read_external(spark: SparkSession, pattern: str, contract: Contract) -> DataFrame:
+    """Files by a pattern with wildcards, in the contract's schema; nothing is inferred from them."""
+    return spark.read.schema(contract.schema).parquet(pattern)
+
+
+def current_release(rows: DataFrame, files: DataFrame, pointer: DataFrame, table_name: str) -> DataFrame:
+    """The rows of the files mapped to the active release: a semi-join on the file each row came from.
+    ``rows`` have their file in ``file_uri``; an ambiguous pointer selects nothing."""
+    active = only_if_single(pointer).select("release_id")
+    chosen = files.where(F.col("table_name") == table_name).join(active, "release_id", "left_semi").select("file_uri")
+    return rows.join(chosen, "file_uri", "left_semi")
+
+
 def read_release(spark: SparkSession, files: DataFrame, release_id: str, table_name: str, schema: T.StructType) -> DataFrame:
     """The rows of the files selected for a release, with release, run and time of ingestion.
 
-    The list of files is resolved first (one row per file of one release), so no other file is even
-    opened; the file's own row is then joined by the path the scan reports.
+    The list of files is resolved first (one row per file of one release, at most ``MAX_FILES``), so no
+    other file is even opened; the file's own row is then joined by the path the scan reports.
     """
     chosen = files.where((F.col("release_id") == release_id) & (F.col("table_name") == table_name) & (F.col("status") == "selected"))
     chosen = chosen.select("file_uri", "source_run_id", "ingested_at").distinct()
-    uris = [r["file_uri"] for r in chosen.select("file_uri").collect()]
+    uris = [r["file_uri"] for r in chosen.select("file_uri").limit(MAX_FILES + 1).collect()]
+    if len(uris) > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files in {release_id}")
     if not uris:
         empty = T.StructType([*schema.fields, T.StructField("release_id", T.StringType()), T.StructField("source_run_id", T.StringType()), T.StructField("ingested_at", T.TimestampType())])
         return spark.createDataFrame([], empty)
     rows = spark.read.schema(schema).parquet(*uris).select("*", F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/").alias("path_"))
     mapped = chosen.select(F.regexp_replace("file_uri", "^file:/*", "/").alias("path_"), F.lit(release_id).alias("release_id"), "source_run_id", "ingested_at")
-    return rows.join(F.broadcast(mapped), "path_").drop("path_")  # as many rows as files were listed above
+    return rows.join(F.broadcast(mapped), "path_").drop("path_")  # at most MAX_FILES rows
 
 
 def replace_releases(df: DataFrame, path: str) -> None:
@@ -111,29 +149,46 @@ def replace_releases(df: DataFrame, path: str) -> None:
 
 
 class ManifestStore:
-    """Append-only checkpoints of runs, one JSON file each."""
+    """Append-only checkpoints of runs, one JSON file for each run, attempt and status. A checkpoint that
+    is stored again must be the same."""
 
     FORBIDDEN = "id_aluno"
 
-    def __init__(self, path: str):
-        self.path = Path(path)
-        self.path.mkdir(parents=True, exist_ok=True)
+    def __init__(self, spark: SparkSession, path: str):
+        self.path, self._files = path.rstrip("/"), Files(spark)
 
     def persist(self, manifest: dict) -> str:
-        text = json.dumps(manifest, sort_keys=True)
+        text = json.dumps(manifest, sort_keys=True) + "\n"
         if self.FORBIDDEN in text:
             raise ValueError("a manifest must not name pupils")
-        name = f"{manifest['run_id']}-{uuid.uuid4().hex}.json"
-        with (self.path / name).open("x", encoding="utf-8") as out:
-            out.write(text + "\n")
+        name = f"{manifest['run_id']}-{manifest.get('attempt_id') or 'none'}-{manifest['status']}.json"
+        place = f"{self.path}/{name}"
+        if not self._files.write_new(place, text) and self._files.read_text(place) != text:
+            raise ValueError(f"{name} exists with other content")
         return name
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.json(str(self.path))
+        return spark.read.json(self.path)
 
     def latest_completed(self, spark: SparkSession, keys: Sequence[str] = ("source", "year")) -> DataFrame:
-        done = self.read(spark).where("status = 'completed'")
-        return done.groupBy(*keys).agg(F.max_by("run_id", F.struct("completed_at", "run_id")).alias("run_id"))
+        return latest_completed(self.read(spark), keys)
+
+
+def latest_completed(manifests: DataFrame, keys: Sequence[str] = ("source", "year")) -> DataFrame:
+    """Of each source and year the run that was completed last; one that does not say when is none."""
+    done = manifests.where("status = 'completed' AND completed_at IS NOT NULL")
+    return done.groupBy(*keys).agg(F.max_by("run_id", F.struct("completed_at", "run_id")).alias("run_id"))
+
+
+def select_latest_completed(manifests: DataFrame, source: str, year: int) -> str:
+    """The run of one source and year that was completed last; none, or two at the same moment, is an error."""
+    done = manifests.where((F.col("status") == "completed") & F.col("completed_at").isNotNull() & (F.col("source") == source) & (F.col("year") == year))
+    last = done.groupBy("completed_at").agg(F.min("run_id").alias("a"), F.max("run_id").alias("b")).orderBy(F.col("completed_at").desc()).limit(1).collect()
+    if not last:
+        raise LookupError(f"no completed run of {source} {year}")
+    if last[0]["a"] != last[0]["b"]:
+        raise LookupError(f"several runs of {source} {year} were completed last")
+    return last[0]["a"]
 
 
 def unchanged(manifest: dict | None, query_hash: str, schema_hash: str, fingerprint: str, row_count: int) -> bool:

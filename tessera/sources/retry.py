@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 
-def with_retries[R](call: Callable[[], R], transient: tuple[type[Exception], ...], attempts: int = 3, seen: Callable[[int, Exception], None] | None = None) -> R:
-    """The call's result; only ``transient`` errors are tried again, and the last one is raised."""
-    for attempt in range(1, attempts + 1):
+def pauses(attempts: int, first_s: float) -> list[float]:
+    """How long to wait before each further attempt: twice as long every time."""
+    return [first_s * 2**k for k in range(attempts - 1)]
+
+
+def with_retries[R](
+    call: Callable[[], R], transient: tuple[type[Exception], ...], attempts: int = 3, seen: Callable[[int, Exception], None] | None = None, first_pause_s: float = 0.05
+) -> R:
+    """The call's result. After a ``transient`` error it is called again, with growing pauses, until the
+    attempts are used up; what the last one raises is raised, as is any other error at once."""
+    waits = pauses(attempts, first_pause_s)
+    for number, wait in enumerate(waits, start=1):
         try:
             return call()
         except transient as error:
-            if seen:
-                seen(attempt, error)
-            if attempt == attempts:
-                raise
-    raise AssertionError
+            (seen or (lambda *_: None))(number, error)
+            time.sleep(wait)
+    return call()

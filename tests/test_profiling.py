@@ -1,5 +1,8 @@
 import statistics
 from decimal import Decimal
+from fractions import Fraction
+
+import pytest
 
 from tessera.operators import profiling as p
 
@@ -10,8 +13,8 @@ REGISTRY = "release_id string, baseline_release_id string, load string"
 def findings(spark, loads, links=()):
     rows = [(load, None if x is None else Decimal(str(x)), None, None, None, 1) for load, values in loads.items() for x in values]
     profile = p.numeric_profile(spark.createDataFrame(rows, SCHEMA), "release_id", p.SILVER_EXPECTATIONS)
-    compared = p.with_baseline(profile, spark.createDataFrame([(a, b, None) for a, b in links], REGISTRY))
-    return {(r["load"], r["finding"]) for r in p.findings(compared, p.SILVER_EXPECTATIONS).where("column_name = 'taxa_alfabetizacao'").collect()}
+    compared = p.with_baseline(profile, spark.createDataFrame([(a, b, None) for a, b in links], REGISTRY), p.SILVER_EXPECTATIONS)
+    return {(r["load"], r["finding"]) for r in p.findings(compared).where("column_name = 'taxa_alfabetizacao'").collect()}
 
 
 def test_thresholds_are_strict(spark):
@@ -45,13 +48,28 @@ def test_equal_and_missing_values(spark):
     assert findings(spark, {"a": [99999999999, 1, 2, 3, 4]}) == {("a", "range")}
 
 
-def test_power_sums_give_mean_and_spread(spark):
-    values = [Decimal("0.000000001") + i * Decimal("12.345") for i in range(50)]
+@pytest.mark.parametrize("values", [
+    [Decimal("0.000000001") + i * Decimal("12.345") for i in range(50)],
+    [Decimal("-9999999999999999999.999999999"), Decimal("9999999999999999999.999999999"), Decimal("10000.5"), Decimal("-0.000000001")] * 3,
+    [Decimal("1000000000000000000") + i for i in range(9)],
+])
+def test_power_sums_are_exact_at_any_size(spark, values):
     frame = spark.createDataFrame([("a", v, None, None, None, 1) for v in values], SCHEMA)
-    row = p.numeric_profile(frame, "release_id", p.SILVER_EXPECTATIONS).where("column_name = 'taxa_alfabetizacao'").withColumn("sd", p._spread()).first()
-    assert row["s1_exact"] == sum(values)
-    assert row["s2_exact"] == sum(v * v for v in values)
-    assert abs(row["sd"] - statistics.pstdev(map(float, values))) < 1e-9
+    row = p.numeric_profile(frame, "release_id", p.SILVER_EXPECTATIONS).where("column_name = 'taxa_alfabetizacao'").first()
+    whole = [int(v.scaleb(9)) for v in values]
+    assert p.power_sums(row["sums"]) == (sum(whole), sum(x * x for x in whole))
+    shown = p.with_baseline(
+        p.numeric_profile(frame, "release_id", p.SILVER_EXPECTATIONS), spark.createDataFrame([], REGISTRY), p.SILVER_EXPECTATIONS
+    ).where("column_name = 'taxa_alfabetizacao'").first()
+    exact = [Fraction(x, 10**9) for x in whole]
+    assert shown["mean"] == float(statistics.mean(exact)) and abs(shown["sd"] - statistics.pstdev(exact)) <= 1e-15 * shown["sd"]
+
+
+def test_a_shift_beside_huge_values_is_seen(spark):
+    """Doubles would lose the spread of these loads."""
+    base = [10**15 + x for x in (0, 1, 2, 3, 4)]
+    got = findings(spark, {"a": base, "b": [10**15 + 2 + (x - 2) * Decimal("1.6") for x in (0, 1, 2, 3, 4)], "c": [x + 6 for x in base]}, [("b", "a"), ("c", "a")])
+    assert {x for x in got if x[1] not in ("range", "decimals")} == {("b", "spread_shift"), ("c", "mean_shift")}
 
 
 def test_all_columns(spark):
