@@ -40,3 +40,33 @@ def expired(registry: DataFrame, protected: DataFrame, as_of: str, failed_days:
         (F.col("status") == "succeeded") & (F.col("created_at") < age - F.make_dt_interval(F.lit(succeeded_days)))
     )
     return registry.where(old).select("release_id").distinct().join(protected.select("release_id"), "release_id", "left_anti")
+
+
+#: A lineage to roll back along is followed this far.
+MAX_LEVELS = 400
+
+
+def rollback_lineage(registry: DataFrame, start: str | None, levels: int = MAX_LEVELS) -> DataFrame:
+    """(release_id, reference_year, chain_level, release_path, has_cycle) from ``start`` towards its root,
+    ``levels`` steps at most, the path written |start|...|release|. If the ancestry runs into a cycle
+    there is one row, for ``start``, that says so."""
+    tree = hierarchy(registry, "release_id", "baseline_release_id").where(F.col("node") == F.lit(start))
+    upward = F.slice(F.reverse(F.coalesce("path", F.array("node"))), 1, levels + 1)
+    steps = tree.select((F.col("depth") < 0).alias("has_cycle"), upward.alias("up"), F.posexplode(upward).alias("chain_level", "release_id"))
+    shown = F.concat(F.lit("|"), F.array_join(F.slice("up", 1, F.col("chain_level") + 1), "|"), F.lit("|"))
+    years = registry.groupBy("release_id").agg(F.max("reference_year").alias("reference_year"))
+    return steps.withColumn("release_path", shown).join(years, "release_id").select(
+        "release_id", "reference_year", F.col("chain_level").cast("long").alias("chain_level"), "release_path", "has_cycle"
+    )
+
+
+def protected(registry: DataFrame, roots: DataFrame) -> DataFrame:
+    """The releases of ``roots`` and all their ancestors, however many there are: those whose nested-set
+    range holds a root's place. Roots on a cycle or below one protect what stands on it too."""
+    tree = hierarchy(registry, "release_id", "baseline_release_id", with_path=False)
+    at = tree.join(roots.select(F.col("release_id").alias("node")).distinct(), "node", "left_semi")
+    places = at.select(F.col("root").alias("of"), F.col("low").alias("place"), F.col("depth").alias("level"))
+    held = (F.col("root") == F.col("of")) & (
+        ((F.col("level") >= 0) & (F.col("low") <= F.col("place")) & (F.col("high") > F.col("place"))) | ((F.col("level") < 0) & (F.col("depth") < 0))
+    )
+    return tree.join(places, held).select(F.col("node").alias("release_id")).distinct()

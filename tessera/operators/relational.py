@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from tessera.functions.domain import payload_hash
 
-#: A dimension is sent to every task only up to this many rows (about 100 bytes each).
-BROADCAST_ROWS = 500_000
+#: A dimension is sent to every task only up to this size.
+BROADCAST_BYTES = 32 << 20
 
 
-def small_side(dimension: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``dimension`` marked for broadcast if it has at most ``limit`` rows; else as it is, and the
-    join shuffles."""
-    return F.broadcast(dimension) if dimension.limit(limit + 1).count() <= limit else dimension
+def small_side(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``dimension`` marked for broadcast if its rows, written as text, have at most ``limit`` bytes; else
+    as it is, and the join shuffles. The size is summed by all tasks, no rows are moved for it."""
+    size = dimension.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + F.lit(16))).first()[0] or 0
+    return F.broadcast(dimension) if size <= limit else dimension
 
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:

@@ -350,22 +350,25 @@ def column_families(inspection: DataFrame, manifest: DataFrame) -> dict[str, tup
     return dict(sorted(out.items()))
 
 
+def with_fields(records: DataFrame) -> DataFrame:
+    """The records with the fields of their payload as texts by name (``has_``, null for what is no
+    object); of names that differ in case only, the last stays."""
+    entries = F.expr("transform(map_entries(cast(doc_ as map<string, variant>)), e -> struct(lower(trim(e.key)) as key, cast(e.value as string) as value))")
+    is_object = F.coalesce(F.schema_of_variant("doc_").startswith("OBJECT"), F.lit(False))
+    latest = F.aggregate(
+        F.when(is_object, entries), F.expr("cast(map() as map<string, string>)"),
+        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])),
+    )
+    return records.withColumn("doc_", F.try_parse_json("payload")).withColumn("has_", latest).drop("doc_")
+
+
 def consistent_table(records: DataFrame, inspection: DataFrame, manifest: DataFrame) -> DataFrame:
     """One wide table over all files: run_id_, line_no_, then a column per family in its fused type;
     ``unconverted_`` has by name the values that have no place in it (of another type, of a name no
     schema knows, or beside another value of the same family) and ``broken_`` the text of what is no object. One pass, no shuffle of records."""
     families = column_families(inspection, manifest)
-    parsed = records.select(
-        F.col("run_id").alias("run_id_"), F.col("line_no").alias("line_no_"), F.col("payload"), F.try_parse_json("payload").alias("doc")
-    )
-    is_object = F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))
-    entries = F.expr("transform(map_entries(cast(doc as map<string, variant>)), e -> struct(lower(trim(e.key)) as key, cast(e.value as string) as value))")
-    # of names that differ in case only, the last stays
-    latest = F.aggregate(
-        F.when(is_object, entries), F.expr("cast(map() as map<string, string>)"),
-        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])),
-    )
-    rows = parsed.select("run_id_", "line_no_", F.when(~is_object, F.col("payload")).alias("broken_"), latest.alias("has"))
+    parsed = with_fields(records.select(F.col("run_id").alias("run_id_"), F.col("line_no").alias("line_no_"), "payload"))
+    rows = parsed.select("run_id_", "line_no_", F.when(F.col("has_").isNull(), F.col("payload")).alias("broken_"), F.col("has_").alias("has"))
     columns = []
     family_of = {name: (column, kind) for column, (names, kind) in families.items() for name in names}
     for column, (names, kind) in families.items():

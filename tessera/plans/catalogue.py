@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import instant, micros
 from tessera.functions.domain import days_since, normalize_municipality_id, normalize_network, rate, year_start
 from tessera.operators import fingerprint, lineage, quality, relational
-from tessera.session import cut
 
 QUERIES, ORACLES = {}, {}
 AS_OF = "2026-01-01"
@@ -80,18 +79,6 @@ def scan_release_scoped(spark, folder):
     return rows.groupBy("release_id").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source_run_id").alias("n_runs"))
 
 
-@query(f"SELECT release_id, ano, id_municipio, rede, taxa_alfabetizacao, media_portugues, {', '.join(LEVELS)}, make_date(CAST(ano AS INT), 1, 1) AS ano_particao, count(*) AS n FROM {_M} GROUP BY ALL")
-def staging_municipio(spark, folder):
-    rows = staged(spark, folder, "silver_municipio").drop("source_run_id", "ingested_at")
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(f"SELECT release_id, ano, id_municipio, rede, {', '.join(TARGETS)}, count(*) AS n FROM {_T} GROUP BY ALL")
-def staging_targets(spark, folder):
-    rows = staged(spark, folder, "silver_meta_alfabetizacao_municipio", "target").select(*KEY, *TARGETS)
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("""SELECT c_custkey, TRY_CAST(c_name AS BIGINT) AS name_number, TRY_CAST(right(c_name, 4) AS BIGINT) AS tail_number,
 TRY_CAST(right(c_name, 3) AS DECIMAL(28,9)) AS tail_decimal FROM customer""")
 def try_cast_dirty(spark, folder):
@@ -101,18 +88,6 @@ def try_cast_dirty(spark, folder):
     )
 
 
-@query(f"""SELECT release_id, id_municipio, rede, CASE WHEN taxa_alfabetizacao IS NULL AND percentual_participacao IS NULL THEN 'taxa_alfabetizacao_and_percentual_participacao_missing'
-WHEN taxa_alfabetizacao IS NULL THEN 'taxa_alfabetizacao_missing' ELSE 'percentual_participacao_missing' END AS reason_code, count(*) AS n
-FROM {_T} WHERE taxa_alfabetizacao IS NULL OR percentual_participacao IS NULL GROUP BY ALL""")
-def reject_routing(spark, folder):
-    """Rows without rate or participation, with the reason, before any deduplication."""
-    a, b = F.col("taxa_alfabetizacao").isNull(), F.col("percentual_participacao").isNull()
-    rows = staged(spark, folder, "silver_meta_alfabetizacao_municipio", "target").where(a | b)
-    # fixed values: the reason codes
-    reason = F.when(a & b, "taxa_alfabetizacao_and_percentual_participacao_missing").when(a, "taxa_alfabetizacao_missing").otherwise("percentual_participacao_missing")
-    return rows.groupBy("release_id", "id_municipio", "rede", reason.alias("reason_code")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_quantity, 'lineitem' AS table_name FROM lineitem WHERE l_quantity BETWEEN 5 AND 7 AND l_returnflag NOT IN ('A') AND l_linestatus IS DISTINCT FROM 'O'")
 def predicates(spark, folder):
     """Range, list and null-safe predicates, all at the scan."""
@@ -124,22 +99,6 @@ def predicates(spark, folder):
 
 # joins -----------------------------------------------------------------------------------------
 
-_DIR = "(SELECT id_municipio, max(nome) AS nome, max(sigla_uf) AS sigla_uf FROM diretorio_municipio WHERE excluido_em IS NULL GROUP BY 1)"
-
-
-def directory(spark, folder):
-    """One current row per municipality."""
-    rows = table(spark, folder, "diretorio_municipio").where(F.col("excluido_em").isNull())
-    return rows.groupBy("id_municipio").agg(F.max("nome").alias("nome"), F.max("sigla_uf").alias("sigla_uf"))
-
-
-@query(f"WITH {_DEDUP} SELECT release_id, ano, id_municipio, rede, taxa_alfabetizacao, nome, sigla_uf FROM d JOIN {_DIR} USING (id_municipio)")
-def indicador_municipio(spark, folder):
-    """Silver results with names: an inner join with the directory, sent to the tasks if it is small."""
-    joined = silver(spark, folder).join(relational.small_side(directory(spark, folder)), "id_municipio")
-    return joined.select("release_id", "ano", "id_municipio", "rede", "taxa_alfabetizacao", "nome", "sigla_uf")
-
-
 @query("""SELECT n_name, r_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
 def dim_enrich_inner(spark, folder):
@@ -190,17 +149,6 @@ def asof_latest_reference(spark, folder):
     return chosen_targets(spark, folder)
 
 
-@query(f"""WITH {_CHOSEN}, {_DEDUP} SELECT g.*, d.taxa_alfabetizacao AS taxa_resultado, CAST(d.taxa_alfabetizacao - meta_alfabetizacao AS DECIMAL(29,9)) AS gap_pp,
-CASE WHEN d.taxa_alfabetizacao >= meta_alfabetizacao THEN 'atingida' WHEN d.taxa_alfabetizacao < meta_alfabetizacao THEN 'nao_atingida' END AS status_meta
-FROM g LEFT JOIN d ON d.release_id = g.release_id AND d.ano = g.ano_meta AND d.id_municipio = g.id_municipio AND d.rede = g.rede""")
-def target_vs_result(spark, folder):
-    """Targets beside results; a target whose result is not there yet keeps null results."""
-    results = silver(spark, folder).select("release_id", F.col("ano").alias("ano_meta"), "id_municipio", "rede", F.col("taxa_alfabetizacao").alias("taxa_resultado"))
-    joined = chosen_targets(spark, folder).join(results, ["release_id", "ano_meta", "id_municipio", "rede"], "left")
-    gap = F.col("taxa_resultado") - F.col("meta_alfabetizacao")
-    return joined.withColumn("gap_pp", gap).withColumn("status_meta", F.when(gap >= 0, "atingida").when(gap < 0, "nao_atingida"))
-
-
 @query("""SELECT s.id_municipio, count(*) AS n FROM silver_municipio s LEFT JOIN (SELECT DISTINCT id_municipio FROM diretorio_municipio) d USING (id_municipio) WHERE d.id_municipio IS NULL GROUP BY 1""")
 def orphan_rows(spark, folder):
     """Result rows whose municipality the directory never had, as written; a null one is an orphan too."""
@@ -330,71 +278,6 @@ def nearest_release_per_year(spark, folder):
     return lineage.nearest_per_year(active_chain(spark, folder))
 
 
-@query(f"""WITH RECURSIVE {_CHAIN} SELECT DISTINCT release_id FROM release_registry WHERE release_id NOT IN (SELECT i FROM c)
-AND ((status = 'failed' AND created_at < TIMESTAMPTZ '{AS_OF} 00:00:00+00' - INTERVAL 7 DAY) OR (status = 'succeeded' AND created_at < TIMESTAMPTZ '{AS_OF} 00:00:00+00' - INTERVAL 30 DAY))""")
-def cleanup_candidates(spark, folder):
-    return lineage.expired(table(spark, folder, "release_registry"), active_chain(spark, folder), AS_OF)
-
-
-_LOAD_CHAIN = _CHAIN.replace("(SELECT max(release_id) FROM release_registry WHERE status = 'active')", "(SELECT arg_max(release_id, (ingested_at, release_id)) FROM silver_municipio)")
-_NEAREST = f"{_LOAD_CHAIN}, nr AS (SELECT y, arg_min(i, k) i, min(k) k FROM c GROUP BY 1)"
-
-
-def published(spark, folder):
-    """Of the ancestry of the last load, the release nearest to it for each reference year."""
-    last = table(spark, folder, "silver_municipio").agg(F.max_by("release_id", F.struct("ingested_at", "release_id"))).first()[0]
-    steps = cut(lineage.nearest_per_year(lineage.chain(table(spark, folder, "release_registry"), last)), "chain")
-    return last, steps
-
-
-@query(f"""WITH RECURSIVE {_NEAREST}, {_DEDUP}, h AS (SELECT d.*, lag(taxa_alfabetizacao) OVER (PARTITION BY id_municipio, rede ORDER BY ano, release_id) b
-FROM d JOIN nr ON nr.i = d.release_id JOIN {_DIR} USING (id_municipio))
-SELECT ano, id_municipio, rede, taxa_alfabetizacao, b AS taxa_ano_anterior, CAST(taxa_alfabetizacao - b AS DECIMAL(29,9)) AS variacao_pp FROM h
-WHERE release_id = (SELECT arg_max(release_id, (ingested_at, release_id)) FROM silver_municipio)""")
-def evolucao_alfabetizacao(spark, folder):
-    """The last load's rates beside those of the previous year there is in its ancestry; the load is
-    filtered out after looking back, not before."""
-    last, steps = published(spark, folder)
-    history = silver(spark, folder).join(relational.small_side(steps.select("release_id")), "release_id")
-    history = history.join(relational.small_side(directory(spark, folder)), "id_municipio")
-    order = F.struct("ano", "release_id").alias("order_")
-    before = relational.previous_available(history.select("*", order), ["id_municipio", "rede"], "order_", "taxa_alfabetizacao", "taxa_ano_anterior")
-    return before.where(F.col("release_id") == last).select(
-        "ano", "id_municipio", "rede", "taxa_alfabetizacao", "taxa_ano_anterior", (F.col("taxa_alfabetizacao") - F.col("taxa_ano_anterior")).alias("variacao_pp")
-    )
-
-
-@query(f"""WITH RECURSIVE {_NEAREST}, {_DEDUP} SELECT d.release_id, y AS reference_year, d.ano, d.id_municipio, d.rede, d.taxa_alfabetizacao, nome, sigla_uf
-FROM d JOIN nr ON nr.i = d.release_id JOIN {_DIR} USING (id_municipio)""")
-def public_indicador_municipio(spark, folder):
-    _, steps = published(spark, folder)
-    rows = indicador_municipio(spark, folder).join(relational.small_side(steps.select("release_id", "reference_year")), "release_id")
-    return rows.select("release_id", "reference_year", "ano", "id_municipio", "rede", "taxa_alfabetizacao", "nome", "sigla_uf")
-
-
-@query(f"""WITH RECURSIVE {_NEAREST}, {_CHOSEN.replace('c AS (', 'ch AS (').replace('FROM c)', 'FROM ch)')},
-p AS (SELECT g.*, y, row_number() OVER (PARTITION BY id_municipio, rede, ano_meta ORDER BY y DESC, nr.k) w FROM g JOIN nr ON nr.i = g.release_id WHERE y <= ano_meta)
-SELECT release_id, id_municipio, rede, ano_meta, ano_referencia, meta_alfabetizacao FROM p WHERE w = 1""")
-def public_overlap_resolution(spark, folder):
-    """Of overlapping targets of several published releases, those of the latest reference year not
-    after the target's, then of the nearest release."""
-    _, steps = published(spark, folder)
-    rows = chosen_targets(spark, folder).join(relational.small_side(steps), "release_id").where(F.col("reference_year") <= F.col("ano_meta"))
-    rows = rows.withColumn("near_", -F.col("chain_level"))
-    return relational.latest(
-        rows, ["id_municipio", "rede", "ano_meta"], ["reference_year", "near_"], ["release_id", "ano_referencia", "meta_alfabetizacao"]
-    )
-
-
-@query(f"""WITH RECURSIVE {_LOAD_CHAIN} SELECT a.i AS release_id, b.i AS baseline FROM c a JOIN c b ON b.k = a.k + 1 WHERE a.y < b.y""")
-def chain_year_order(spark, folder):
-    """Steps of the ancestry at which the reference year falls: a self-join of the chain."""
-    last = table(spark, folder, "silver_municipio").agg(F.max_by("release_id", F.struct("ingested_at", "release_id"))).first()[0]
-    steps = cut(lineage.chain(table(spark, folder, "release_registry"), last), "chain")
-    up = steps.select(F.col("release_id").alias("baseline"), F.col("reference_year").alias("base_year"), (F.col("chain_level") - 1).alias("chain_level"))
-    return steps.join(up, "chain_level").where(F.col("reference_year") < F.col("base_year")).select("release_id", "baseline")
-
-
 # measurements ----------------------------------------------------------------------------------
 
 _NEG = " OR ".join(f"{c} < 0" for c in ["media_portugues", "taxa_alfabetizacao", *LEVELS])

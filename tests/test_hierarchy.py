@@ -83,3 +83,19 @@ def test_chain_of_one_release(spark):
     assert {tuple(r) for r in steps.select("release_id", "chain_level").collect()} == {("c", 0), ("b", 1), ("a", 2)}
     assert {(r["reference_year"], r["release_id"]) for r in lineage.nearest_per_year(steps).collect()} == {(2024, "c"), (2023, "a")}
     assert [lineage.chain(registry, x).count() for x in ("x", "none", None)] == [0, 0, 0]
+
+
+def test_lineages_to_roll_back_and_to_protect(spark):
+    registry = spark.createDataFrame(
+        [("a", None, 2023), ("b", "a", 2024), ("c", "b ", 2025), ("d", "a", 2024), ("e", "gone", 2024), ("x", "y", 2024), ("y", "x", 2023), ("z", "x", 2023)],
+        "release_id string, baseline_release_id string, reference_year long",
+    )
+    got = {tuple(r) for r in lineage.rollback_lineage(registry, "c").collect()}
+    assert got == {("c", 2025, 0, "|c|", False), ("b", 2024, 1, "|c|b|", False), ("a", 2023, 2, "|c|b|a|", False)}
+    assert lineage.rollback_lineage(registry, "c", levels=1).count() == 2
+    assert [tuple(r)[::4] for r in lineage.rollback_lineage(registry, "z").collect()] == [("z", True)] and lineage.rollback_lineage(registry, "none").count() == 0
+    kept = lambda *roots: {r[0] for r in lineage.protected(registry, spark.createDataFrame([(x,) for x in roots], "release_id string")).collect()}
+    assert kept("c") == {"a", "b", "c"} and kept("d", "e") == {"a", "d", "e"} and kept("z") == {"x", "y", "z"} and kept("none") == set()
+    chain = spark.createDataFrame([(f"c{i:04d}", f"c{i - 1:04d}" if i else None, 2024) for i in range(450)], registry.schema)
+    assert lineage.rollback_lineage(chain, "c0449").count() == 401
+    assert lineage.protected(chain, spark.createDataFrame([("c0449",)], "release_id string")).count() == 450
