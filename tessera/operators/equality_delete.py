@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import instant, micros
-from tessera.session import cut
+from tessera.session import CommitLog, cut
 
 KEYS = ("ano", "id_municipio", "rede")
 OLDEST = -(1 << 62)
@@ -78,22 +78,32 @@ def current_rows(changes: DataFrame, keys=KEYS) -> DataFrame:
 
 
 class EqualityDeleteTable:
-    """The same over batches: each ``append`` adds one data table and one delete table under
-    ``path``; batches may come in any order and more than once (a batch id is written once)."""
+    """The same over batches: each ``append`` adds one data table and one delete table under ``path``,
+    and a marker that names them; batches may come in any order and more than once (a batch id counts
+    once), and the table is what it was after a restart."""
 
     def __init__(self, spark, path: str, keys=KEYS):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), tuple(keys)
-        self.batches: list[str] = []
+        self.log = CommitLog(spark, self.path)
+        self.number, self.version = self.log.latest() or (-1, {"live": [], "applied": []})
+
+    def _commit(self, live: list[str], applied: list[str]) -> None:
+        version = {"live": live, "applied": applied}
+        self.log.commit(self.number + 1, version)
+        self.number, self.version = self.number + 1, version
+
+    def _write(self, name: str, data: DataFrame, deletes: DataFrame) -> None:
+        cut(data, "data", f"{self.path}/data/{name}")
+        cut(deletes, "deletes", f"{self.path}/deletes/{name}")
 
     def append(self, changes: DataFrame, batch_id: str) -> None:
-        if batch_id in self.batches:
+        if batch_id in self.version["applied"]:
             return
-        cut(data_rows(changes, self.keys), "data", f"{self.path}/data/{batch_id}")
-        cut(delete_rows(changes, self.keys), "deletes", f"{self.path}/deletes/{batch_id}")
-        self.batches.append(batch_id)
+        self._write(batch_id, data_rows(changes, self.keys), delete_rows(changes, self.keys))
+        self._commit([*self.version["live"], batch_id], [*self.version["applied"], batch_id])
 
     def _all(self, kind: str) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.path}/{kind}/{b}" for b in self.batches])
+        return self.spark.read.parquet(*[f"{self.path}/{kind}/{b}" for b in self.version["live"]])
 
     def read(self) -> DataFrame:
         keys = list(self.keys)
@@ -101,10 +111,9 @@ class EqualityDeleteTable:
         deletes = self._all("deletes").groupBy(*keys).agg(F.max("deleted_at").alias("deleted_at"))
         return read_current(data, deletes, self.keys)
 
-    def compact(self, batch_id: str) -> None:
-        """Rewrite what is live as one batch. Deletes stay, so that a late upsert older than a
-        delete is still refused."""
-        keys = list(self.keys)
-        cut(self.read(), "data", f"{self.path}/data/{batch_id}")
-        cut(self._all("deletes").groupBy(*keys).agg(F.max("deleted_at").alias("deleted_at")), "deletes", f"{self.path}/deletes/{batch_id}")
-        self.batches = [batch_id]
+    def compact(self, name: str) -> None:
+        """Rewrite what is live as one batch. Deletes stay, so that a late upsert older than a delete is
+        still refused."""
+        deletes = self._all("deletes").groupBy(*self.keys).agg(F.max("deleted_at").alias("deleted_at"))
+        self._write(name, self.read(), deletes)
+        self._commit([name], self.version["applied"])

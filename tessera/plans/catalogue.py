@@ -466,3 +466,31 @@ def event_semantic_validation(spark, folder):
 
     rows = table(spark, folder, "municipal_rate_stream").withColumn("participacao", F.col("taxa_participacao"))
     return rows.select("delivery_id", F.when(semantic_rules(rows), "valid").otherwise("quarantine").alias("route"))
+
+
+@query(f"SELECT delivery_id, CASE WHEN coalesce({_VALID}, false) THEN 'valid' ELSE 'quarantine' END AS route FROM municipal_rate_stream")
+def event_routing(spark, folder):
+    """The same through the binary codec: rows are encoded, delivered as envelopes, decoded and routed; a
+    row that is no record of the schema has no payload to decode."""
+    from tessera.streaming import demo, routing
+
+    fixed = {"schema_version": F.lit(routing.SCHEMA_VERSION), "event_type": F.lit(routing.EVENT_TYPE), "producer": F.lit("catalogue"), "participacao": F.col("taxa_participacao")}
+    columns = {name: fixed.get(name, F.col(name)) for name, _ in routing.EVENT_FIELDS if name in fixed or name != "participacao"}
+    rows = table(spark, folder, "municipal_rate_stream").select(
+        F.col("delivery_id").cast("string").alias("message_id"), demo.encoded(columns).alias("payload"), "publish_time", "ingestion_time", "correlation_id"
+    )
+    routed = routing.route(rows)
+    return routed.select(F.col("message_id").cast("long").alias("delivery_id"), F.when(F.col("valid"), "valid").otherwise("quarantine").alias("route"))
+
+
+@query("SELECT DISTINCT message_id FROM municipal_rate_stream")
+def distinct_messages(spark, folder):
+    return table(spark, folder, "municipal_rate_stream").dropDuplicates(["message_id"]).select("message_id")
+
+
+@query("SELECT 'stored' AS part, count(*) FILTER (taxa_alfabetizacao > 100) = 0 AS within FROM silver_municipio UNION ALL SELECT 'nothing', count(*) FILTER (taxa_alfabetizacao > 100) = 0 FROM silver_municipio WHERE ano = -1")
+def boolean_aggregate(spark, folder):
+    """A yes or no about all rows; about no rows there is an answer too."""
+    rows = table(spark, folder, "silver_municipio")
+    says = lambda part, name: part.agg(F.lit(name).alias("part"), (F.count_if(F.col("taxa_alfabetizacao") > 100) == 0).alias("within"))
+    return says(rows, "stored").unionByName(says(rows.where("ano = -1"), "nothing"))

@@ -7,6 +7,8 @@ release.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import instant, trimmed
@@ -186,6 +188,22 @@ def indicador_municipio(spark, folder):
     return indicator(spark, folder)
 
 
+@query(f"WITH {_GOLD_SQL} SELECT release_id, id_municipio, rede, ano, taxa_alfabetizacao FROM ind QUALIFY row_number() OVER (PARTITION BY release_id, id_municipio, rede ORDER BY ano DESC) = 1")
+def latest_year(spark, folder):
+    """Of each municipality and network of a release the latest year."""
+    return relational.latest(indicator(spark, folder), ["release_id", "id_municipio", "rede"], ["ano"], ["ano", "taxa_alfabetizacao"])
+
+
+@query(f"""WITH {_TABLES_SQL} SELECT ano_particao, rede, count(*) AS n FROM si_municipio WHERE release_id = (SELECT release_id FROM act) AND ano_particao IN (DATE '2024-01-01', DATE '2025-01-01') GROUP BY ALL""")
+def release_partition(spark, folder):
+    """One release and the partitions that are to be replaced; both reach the scan."""
+    active = relational.only_if_single(pointer(spark, folder)).first()
+    rows = table(spark, folder, "silver_municipio").where(
+        (F.col("release_id") == F.lit(active["release_id"] if active else None)) & F.col("ano_particao").isin(datetime.date(2024, 1, 1), datetime.date(2025, 1, 1))
+    )
+    return medallion.silver(medallion.stage(rows, "municipio"), "municipio").groupBy("ano_particao", "rede").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"WITH {_GOLD_SQL} SELECT * FROM cmp")
 def comparativo_meta_resultado(spark, folder):
     """Targets beside results for municipalities, states and the country."""
@@ -270,6 +288,17 @@ def chain_year_order(spark, folder):
     return steps.join(up, "chain_level").where(F.col("reference_year") < F.col("base_year")).select("release_id", "baseline")
 
 
+@query("""WITH RECURSIVE r AS (SELECT release_id i, max(trim(baseline_release_id)) b, max(reference_year) y FROM release_registry GROUP BY 1),
+c AS (SELECT i, b, y, 0 k, [i] p FROM r WHERE i = (SELECT arg_max(release_id, (completed_at, release_id)) FROM release_registry WHERE status = 'succeeded' AND completed_at IS NOT NULL)
+UNION ALL SELECT r.i, r.b, r.y, c.k + 1, list_append(c.p, r.i) FROM c JOIN r ON r.i = c.b WHERE NOT list_contains(c.p, r.i))
+SELECT i AS release_id, y AS reference_year, CAST(k AS BIGINT) AS chain_level FROM c WHERE EXISTS (SELECT 1 FROM c z LEFT JOIN r ON r.i = z.b WHERE r.i IS NULL)""")
+def candidate_chain(spark, folder):
+    """The ancestry of the candidate that was completed last; one that runs into a cycle is none."""
+    registry = table(spark, folder, "release_registry")
+    last = registry.where("status = 'succeeded' AND completed_at IS NOT NULL").agg(F.max_by("release_id", F.struct("completed_at", "release_id"))).first()[0]
+    return lineage.chain(registry, last).select("release_id", "reference_year", "chain_level")
+
+
 @query("""WITH RECURSIVE r AS (SELECT release_id i, max(trim(baseline_release_id)) b, max(reference_year) y FROM release_registry GROUP BY 1),
 c AS (SELECT i, b, y, 0 k, '|' || i || '|' p FROM r WHERE i = (SELECT max(release_id) FROM release_registry WHERE status = 'active')
 UNION ALL SELECT r.i, r.b, r.y, c.k + 1, c.p || r.i || '|' FROM c JOIN r ON r.i = c.b WHERE c.k < 400)

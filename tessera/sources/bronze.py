@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.fingerprint import multiset_fingerprint
 from tessera.operators.relational import only_if_single
 from tessera.sources.contracts import Contract
 from tessera.sources.files import Files
@@ -167,6 +168,9 @@ class ManifestStore:
             raise ValueError(f"{name} exists with other content")
         return name
 
+    def stored(self) -> bool:
+        return any(name.endswith(".json") for name in self._files.names(self.path))
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.json(self.path)
 
@@ -191,6 +195,49 @@ def select_latest_completed(manifests: DataFrame, source: str, year: int) -> str
     return last[0]["a"]
 
 
+def select_completed(manifests: DataFrame, expected: Sequence[tuple[str, int]]) -> dict[tuple[str, int], str]:
+    """The one completed run of each source and year of a release. A missing, repeated or further one is
+    an error, and so is a run that failed."""
+    states = manifests.groupBy("source", "year", "run_id").agg(
+        F.count_if((F.col("status") == "completed") & F.col("completed_at").isNotNull()).alias("done"), F.count_if(F.col("status") == "failed").alias("failed")
+    ).limit(MAX_FILES + 1).collect()
+    found: dict[tuple[str, int], list[str]] = {}
+    for row in states:
+        if row["failed"] and not row["done"]:
+            raise LookupError(f"run {row['run_id']} failed")
+        if row["done"]:
+            found.setdefault((row["source"], row["year"]), []).append(row["run_id"])
+    if set(found) != set(expected) or any(len(runs) != 1 for runs in found.values()):
+        raise LookupError(f"completed runs {sorted(found)} are not one for each of {sorted(expected)}")
+    return {key: runs[0] for key, runs in found.items()}
+
+
+def execute_batch(spark: SparkSession, table: DataFrame, contract: Contract, year: int, root: str, store: ManifestStore, attempt: str, now: str, max_bytes: int = MAX_BYTES) -> dict:
+    """One source and year from its table to a checked snapshot: a checkpoint before, one after. A replay
+    of what was completed with the same query, columns, rows and content writes no data, it only says
+    when it was verified again."""
+    rows = year_extract(table, contract, year)
+    guard_bytes(rows, max_bytes)
+    query = f"{contract.source}|{year}|{','.join(name for name, _ in contract.columns)}"
+    n, first, second = multiset_fingerprint(rows)
+    known = {"query_hash": hashlib.sha256(query.encode()).hexdigest(), "schema_hash": contract.schema_hash, "fingerprint": first + second, "row_count": n}
+    key = {"run_id": run_id(contract.source, year, known["query_hash"] + known["fingerprint"]), "source": contract.source, "year": year}
+    if store.stored():
+        before = store.read(spark).where((F.col("run_id") == key["run_id"]) & (F.col("status") == "completed")).limit(1).collect()
+        if before and unchanged(before[0].asDict(), **known):
+            return before[0].asDict() | {"status": "skipped", "verified_at": now}
+    store.persist(key | known | {"attempt_id": attempt, "status": "incomplete", "started_at": now, "completed_at": None})
+    path = partition_path(root, contract.source, year, key["run_id"], attempt)
+    written = export_snapshot(rows, path)
+    problems = validate_landing(spark, path, contract)
+    if problems or written != n:
+        store.persist(key | known | {"attempt_id": attempt, "status": "failed", "started_at": now, "completed_at": None})
+        raise ValueError(f"{written} of {n} rows; {problems}")
+    done = key | known | {"attempt_id": attempt, "status": "completed", "started_at": now, "completed_at": now, "verified_at": now, "path": path}
+    store.persist(done)
+    return done
+
+
 def unchanged(manifest: dict | None, query_hash: str, schema_hash: str, fingerprint: str, row_count: int) -> bool:
     """Whether a run may be skipped: everything that made the last one is the same."""
     return manifest is not None and (manifest["query_hash"], manifest["schema_hash"], manifest["fingerprint"], manifest["row_count"]) == (

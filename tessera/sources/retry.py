@@ -24,3 +24,15 @@ def with_retries[R](
             (seen or (lambda *_: None))(number, error)
             time.sleep(wait)
     return call()
+
+
+def poll[R](call: Callable[[], R], expected: R, attempts: int, pause_s: float = 0.0) -> R:
+    """Ask until the answer is the expected one; after the last attempt another answer is an error."""
+    answer = None
+    for left in range(attempts - 1, -1, -1):
+        answer = call()
+        if answer == expected:
+            return answer
+        if left:
+            time.sleep(pause_s)
+    raise TimeoutError(f"{answer!r} instead of {expected!r} after {attempts} attempts")

@@ -57,6 +57,9 @@ def test_files_in_any_order_and_compaction(spark, tmp_path):
     for k in (2, 0, 2):
         table.append(feed(spark, rows[k::3]), f"b{k}")
     table.compact("c")
+    table = ed.EqualityDeleteTable(spark, str(tmp_path))  # as after a restart
+    table.append(feed(spark, rows[0::3]), "b0")  # applied before
+    assert table.version == {"live": ["c"], "applied": ["b2", "b0"]}
     table.append(feed(spark, rows[1::3]), "b1")
     assert read(table.read()) == expected(rows)
 

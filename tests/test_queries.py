@@ -28,5 +28,5 @@ def test_the_rest_runs_and_keys_agree(spark):
 
 
 def test_no_query_shows_pupils(spark):
-    for name in ("indicador_municipio", "target_vs_result"):
+    for name in ("indicador_municipio", "comparativo_meta_resultado", "public_indicador_municipio", "public_evolucao_alfabetizacao", "indicador_atual_hibrido"):
         assert "id_aluno" not in entry.queries()[name](spark, FOLDER).columns
