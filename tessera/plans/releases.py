@@ -12,7 +12,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import instant, trimmed
-from tessera.operators import gate, lineage, medallion, relational, schema_drift
+from tessera.operators import gate, hierarchy, lineage, medallion, relational, schema_drift
 from tessera.operators.medallion import LEVEL_NAMES, TABLES, TARGET_NAMES
 from tessera.plans.catalogue import EVENT, EVENT_ORDER, table, transport_latest
 from tessera.session import cut
@@ -289,13 +289,15 @@ def chain_year_order(spark, folder):
 
 
 @query("""WITH RECURSIVE r AS (SELECT release_id i, max(trim(baseline_release_id)) b, max(reference_year) y FROM release_registry GROUP BY 1),
-c AS (SELECT i, b, y, 0 k, [i] p FROM r WHERE i = (SELECT arg_max(release_id, (completed_at, release_id)) FROM release_registry WHERE status = 'succeeded' AND completed_at IS NOT NULL)
-UNION ALL SELECT r.i, r.b, r.y, c.k + 1, list_append(c.p, r.i) FROM c JOIN r ON r.i = c.b WHERE NOT list_contains(c.p, r.i))
-SELECT i AS release_id, y AS reference_year, CAST(k AS BIGINT) AS chain_level FROM c WHERE EXISTS (SELECT 1 FROM c z LEFT JOIN r ON r.i = z.b WHERE r.i IS NULL)""")
+t AS (SELECT i, [i] p FROM r WHERE b IS NULL OR b NOT IN (SELECT i FROM r) UNION ALL SELECT r.i, list_prepend(r.i, t.p) FROM r JOIN t ON r.b = t.i),
+c AS (SELECT p FROM t WHERE i = (SELECT arg_max(release_id, (completed_at, release_id)) FROM release_registry WHERE status = 'succeeded' AND completed_at IS NOT NULL AND release_id IN (SELECT i FROM t WHERE len(p) > 1))),
+u AS (SELECT unnest(p) i, unnest(range(len(p))) k FROM c) SELECT i AS release_id, y AS reference_year, k AS chain_level FROM u JOIN r USING (i)""")
 def candidate_chain(spark, folder):
-    """The ancestry of the candidate that was completed last; one that runs into a cycle is none."""
+    """The ancestry of the candidate that was completed last, of those built on another release."""
     registry = table(spark, folder, "release_registry")
-    last = registry.where("status = 'succeeded' AND completed_at IS NOT NULL").agg(F.max_by("release_id", F.struct("completed_at", "release_id"))).first()[0]
+    built = hierarchy.hierarchy(registry, "release_id", "baseline_release_id", with_path=False).where("depth > 0").select(F.col("node").alias("release_id"))
+    done = registry.where("status = 'succeeded' AND completed_at IS NOT NULL").join(built, "release_id", "left_semi")
+    last = done.agg(F.max_by("release_id", F.struct("completed_at", "release_id"))).first()[0]
     return lineage.chain(registry, last).select("release_id", "reference_year", "chain_level")
 
 
