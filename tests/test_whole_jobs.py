@@ -39,16 +39,6 @@ def test_rows_without_identifiers_stay_in_the_stream(spark, tmp_path):
     assert got("stream_audit") == [("b", None, 4)]
 
 
-def test_short_documents_have_shares_too(spark, tmp_path):
-    span = "".join(chr(0x100 + i) for i in range(100))
-    rows = [(1, span + "ab"), (2, "x" + span), (3, "y" * 99), (4, "y" * 99), (5, ""), (6, None), (7, None), (8, "z" * 100)]
-    got = {tuple(r) for r in run(spark, tmp_path, "p10_shares", documents=(rows, "doc_id long, text string")).collect()}
-    assert got == {
-        (1, 1, 102, 100, 0.980392), (2, 2, 101, 100, 0.990099), (3, 3, 99, 0, 0.0), (4, 3, 99, 0, 0.0),
-        (5, 5, 0, 0, None), (6, 6, None, 0, None), (7, 7, None, 0, None), (8, 8, 100, 0, 0.0),
-    }
-
-
 def test_names_of_one_file_are_never_one_column(spark):
     """a became b in one line of runs and c in another; b and c stand together in a third."""
     files = {"r1": ["a"], "r2": ["b"], "r3": ["a"], "r4": ["c"], "r5": ["b", "c"]}
@@ -100,11 +90,14 @@ def test_any_column_changes_the_fingerprint(spark, tmp_path):
         assert changed["n_rows"] == 2 and changed["first_sum"] != plain["first_sum"] and changed["second_sum"] != plain["second_sum"]
 
 
-def test_the_cleaned_corpus_keeps_its_text(spark, tmp_path):
-    words = " ".join(f"w{i}" for i in range(20))
-    documents = [(1, f"before {words} after", "pt", "s", None), (2, "something else", "pt", "s", "autre chose"), (3, None, None, "s", None)]
-    got = run(
-        spark, tmp_path, "p8_clean", documents=(documents, "doc_id long, text string, lang string, source string, target_text string"),
-        eval_item=([(1, words, "pt", "x")], "item_id long, text string, lang string, suite string"),
-    )
-    assert got.columns == ["doc_id", "text", "lang", "source", "target_text"] and {tuple(r) for r in got.collect()} == set(documents[1:])
+def test_command_line(spark, tmp_path, capsys):
+    from tessera.__main__ import main
+
+    assert main(["list"]) == 0 and "p3_found" in capsys.readouterr().out.split()
+    spark.createDataFrame([(1, "x")], "n_nationkey long, n_name string").write.parquet(str(tmp_path / "in" / "nation.parquet"))
+    for name in ("region", "customer", "supplier", "part", "orders"):
+        spark.createDataFrame([], "a long").write.parquet(str(tmp_path / "in" / f"{name}.parquet"))
+    assert main(["run", "tagged_union", str(tmp_path / "in"), str(tmp_path / "out")]) == 0 and capsys.readouterr().out.strip() == "6"
+    assert {(r["table_name"], r["n_rows"]) for r in spark.read.parquet(str(tmp_path / "out")).where("n_rows > 0").collect()} == {("nation", 1)}
+    with pytest.raises(SystemExit):
+        main(["run", "nothing", "x"])
