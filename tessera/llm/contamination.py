@@ -220,4 +220,5 @@ def matches(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS,
 
 def clean(documents: DataFrame, matched: DataFrame) -> DataFrame:
     """The documents without any match."""
-    return documents.join(matched.select("doc_id").distinct(), "doc_id", "left_anti")
+    # nothing bounds the number of documents concerned, so they are shuffled, whatever the planner guesses
+    return documents.join(matched.select("doc_id").distinct().hint("merge"), "doc_id", "left_anti")
