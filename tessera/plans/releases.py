@@ -337,7 +337,8 @@ def release_health(spark, folder):
 
 
 def gate_inputs(spark, folder):
-    st = {name: cut(staged(spark, folder, name), f"staged-{name}") for name in TABLES}
+    # landed records are parsed once; the stored tables' projection is not worth a table of its own
+    st = {name: rows if name in STORED else cut(rows, f"staged-{name}") for name, rows in ((n, staged(spark, folder, n)) for n in TABLES)}
     si = {name: cut(medallion.silver(rows, name), f"silver-{name}") for name, rows in st.items()}
     names = directory(spark, folder)
     flat = medallion.indicators(si["municipio"], names)
